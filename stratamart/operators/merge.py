@@ -126,25 +126,23 @@ def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols:
     on_insert = on_insert or {}
     source = stage(source, "merge-source")
 
-    exists = table_exists(spark, path)
-    if exists:
-        # At most `buckets` numbers.
-        touched = [r[0] for r in source.select(bucket.alias(BUCKET)).distinct().collect()]
-        if not touched:
-            return MergeCounts(0, 0)
-        whole = spark.read.parquet(path)
-        target = whole.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    else:
-        shape = source.select(*insert_cols)
-        for name, expr in on_insert.items():
-            shape = shape.withColumn(name, expr)
+    if not table_exists(spark, path):
+        first = source.select(*insert_cols).withColumns(on_insert)
         if surrogate:
-            shape = shape.select(F.lit(None).cast("long").alias(surrogate), *shape.columns)
-        target = shape.where(F.lit(False))
-
-    if exists and not update_cols and not on_update:
+            first = with_surrogate_key(first, surrogate, keys)
+        write_bucketed(first.withColumn(BUCKET, bucket), path, cluster_by=cluster_by)
+        return MergeCounts(source.count(), 0)
+
+    # At most `buckets` numbers.
+    touched = [r[0] for r in source.select(bucket.alias(BUCKET)).distinct().collect()]
+    if not touched:
+        return MergeCounts(0, 0)
+    whole = spark.read.parquet(path)
+    target = whole.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+
+    if not update_cols and not on_update:
         fresh = source.select(*insert_cols).join(target.select(*keys), keys, "left_anti")
-        fresh = stage(fresh.withColumns(on_insert) if on_insert else fresh, "merge-new")
+        fresh = stage(fresh.withColumns(on_insert), "merge-new")
         added = fresh.count()
         if added and surrogate:
             last = whole.agg(F.max(surrogate)).first()[0]
@@ -161,7 +159,7 @@ def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols:
     counts = {r[ACTION]: r["count"] for r in merged.groupBy(ACTION).count().collect()}
     result = merged.drop(ACTION)
     if surrogate:
-        last = whole.agg(F.max(surrogate)).first()[0] if exists else None
+        last = whole.agg(F.max(surrogate)).first()[0]
         fresh = with_surrogate_key(merged.where(F.col(ACTION) == "inserted").drop(ACTION, surrogate),
                                    surrogate, keys, last or 0)
         known = merged.where(F.col(ACTION) != "inserted").drop(ACTION)

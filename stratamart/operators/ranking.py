@@ -108,12 +108,16 @@ def ntile_starts(rows: int, k: int) -> list[int]:
     return [s for s in starts if s < rows]
 
 
-def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey]) -> list[tuple]:
+def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey], small_rows: int = SMALL_ROWS) -> list[tuple]:
     """Exact sort-key tuples of the first row of tiles 2..k. The keys must identify a row.
 
-    What reaches the driver: one count per slice and at most ``k - 1`` rows.
+    ``df`` is a written table. What reaches the driver: one count per slice and at most ``k - 1`` rows.
     """
     names = [key.name for key in keys]
+    if small_rows and (rows := df.count()) <= small_rows:
+        position = F.row_number().over(Window.orderBy(*(key.column() for key in keys))) - 1
+        cuts = df.select(*names, position.alias("_at")).where(F.col("_at").isin(ntile_starts(rows, k)))
+        return [tuple(r[n] for n in names) for r in sorted(cuts.collect(), key=lambda r: r["_at"])]
     sliced = ordered_slices(df.select(*names), keys)
     sizes = sorted((r["_slice"], r["count"]) for r in sliced.groupBy("_slice").count().collect())
     wanted = []

@@ -143,11 +143,11 @@ def rfm_keys() -> dict[str, list]:
     }
 
 
-def rfm_scores(customers: DataFrame) -> dict[str, Column]:
+def rfm_scores(customers: DataFrame, small_rows: int = SMALL_ROWS) -> dict[str, Column]:
     """Score columns for a written frame with customer_id, days_since_last_order, lifetime_orders and
     lifetime_value: each is a comparison with at most four cut rows."""
     return {
-        name: ntile_by_cuts(ntile_cuts(customers, SCORE_BUCKETS, keys), keys)
+        name: ntile_by_cuts(ntile_cuts(customers, SCORE_BUCKETS, keys, small_rows), keys)
         for name, keys in rfm_keys().items()
     }
 
@@ -163,7 +163,7 @@ def rfm_segment(recency: Column, frequency: Column, monetary: Column) -> Column:
     )
 
 
-def fact_customer_activity(sales: DataFrame, as_of: dt.date | str) -> DataFrame:
+def fact_customer_activity(sales: DataFrame, as_of: dt.date | str, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Customer-day grain with lifetime, recency, frequency and RFM columns.
 
     Orders are first summed per customer and day, so a customer's window holds at most one row per
@@ -195,7 +195,7 @@ def fact_customer_activity(sales: DataFrame, as_of: dt.date | str) -> DataFrame:
         (day == F.max(day).over(everything)).alias("_latest"),
     )
     history = stage(history, "activity")
-    scores = rfm_scores(history.where("_latest"))
+    scores = rfm_scores(history.where("_latest"), small_rows)
     scored = history.select("*", *(c.alias(f"_{n}") for n, c in scores.items()))
     orders_to_date = F.col("lifetime_orders_to_date")
     return scored.select(

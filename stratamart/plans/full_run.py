@@ -14,6 +14,7 @@ from ..schemas import LINEAGE_COLUMNS, RUN_LOG
 from ..sources.load import (
     RAW_CUSTOMERS, RAW_EVENTS, RAW_ORDERS, RAW_PRODUCTS, RawTable, load_all_raw, load_raw,
 )
+from ..sources.scan import FileFormat
 from ..streaming.incremental import append_only, drain, read_growing
 from . import dims, facts, silver
 
@@ -240,12 +241,13 @@ def _logged(spark: SparkSession, house: Warehouse, layer: str, name: str, step:
 
 
 def run_layers(spark: SparkSession, landing: str, root: str, as_of: dt.date, start: dt.date | None = None,
-               end: dt.date | None = None, buckets: int = 16) -> dict[str, dict]:
+               end: dt.date | None = None, buckets: int = 16,
+               order_format: FileFormat = RAW_ORDERS.fmt) -> dict[str, dict]:
     """Bronze, silver, gold. A second run with no new files changes nothing."""
     house = Warehouse(root, buckets)
     return {
         "bronze": _logged(spark, house, "bronze", "load_all_raw",
-                          lambda: load_all_raw(spark, landing, house.bronze)),
+                          lambda: load_all_raw(spark, landing, house.bronze, order_format)),
         "silver": _logged(spark, house, "silver", "transform_all", lambda: transform_all(spark, house, as_of)),
         "gold": _logged(spark, house, "gold", "populate_all",
                         lambda: populate_all(spark, house, as_of, start, end)),

@@ -168,9 +168,14 @@ def read_quarantine(spark: SparkSession, table: RawTable, bronze: str) -> DataFr
     )
 
 
-def load_all_raw(spark: SparkSession, landing: str, bronze: str) -> dict[str, BatchResult]:
-    """Orders, customers, products: the fixed load order."""
+def load_all_raw(spark: SparkSession, landing: str, bronze: str,
+                 order_format: FileFormat = RAW_ORDERS.fmt) -> dict[str, BatchResult]:
+    """Orders, customers, products: the fixed load order. Large order drops come as JSON Lines."""
     return {
-        table.name: load_raw(spark, table, f"{landing}/{area}", bronze)
-        for table, area in ((RAW_ORDERS, "orders"), (RAW_CUSTOMERS, "customers"), (RAW_PRODUCTS, "products"))
+        table.name: load_raw(spark, table, f"{landing}/{area}", bronze, fmt=fmt)
+        for table, area, fmt in (
+            (RAW_ORDERS, "orders", order_format),
+            (RAW_CUSTOMERS, "customers", None),
+            (RAW_PRODUCTS, "products", None),
+        )
     }

@@ -168,25 +168,41 @@ def heavy_orders(lines: DataFrame, limit: int = LINES_PER_DOCUMENT) -> DataFrame
     )
 
 
-def parcelled_lines(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """Order lines with the parcel they are sent in: 0, or a hash of the line for a heavy order.
+def parcelled_lines(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> tuple[DataFrame, bool]:
+    """Order lines with the parcel they are sent in, and whether any order is split.
 
-    Bounds the size of one document, so that an order holding a third of all lines is many documents.
-    The heavy orders are found by a count over one column; when there are none nothing is joined.
+    The parcel is 0, or a hash of the line for a heavy order: it bounds the size of one document, so an
+    order holding a third of all lines is many documents. Heavy orders are found by a count over one
+    column; when there are none nothing is joined. After the join the lines are spread by order and
+    parcel, so the heavy order does not stay in one task.
     """
     lines = table(spark, sf_dir, "lineitem")
     heavy = heavy_orders(lines, limit)
     if heavy.isEmpty():
-        return lines.withColumn("parcel", F.lit(0).cast("long"))
+        return lines.withColumn("parcel", F.lit(0).cast("long")), False
     # A 32-bit hash of the line's own values; the parcels of one order are about equally large.
     fields = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
     digest = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in fields),
                                _money("l_extendedprice").cast("string")))
     spread = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long")
-    return lines.join(heavy, F.col("l_orderkey") == F.col("_heavy"), "left").select(
+    split = lines.join(heavy, F.col("l_orderkey") == F.col("_heavy"), "left").select(
         *lines.columns,
         F.coalesce(F.pmod(spread, F.col("_parcels")), F.lit(0)).cast("long").alias("parcel"),
     )
+    return split.repartition("l_orderkey", "parcel"), True
+
+
+def _with_headers(headers: DataFrame, documents: DataFrame, split: bool) -> DataFrame:
+    """Orders with their parcels, and orders without lines.
+
+    With split orders one key has many parcels; an inner join can divide such a key over tasks where an
+    outer join cannot, so the orders without lines are added by an anti join.
+    """
+    same = F.col("o_orderkey") == F.col("l_orderkey")
+    if not split:
+        return headers.join(documents, same, "left")
+    empty = headers.join(documents.select("l_orderkey").distinct(), same, "left_anti")
+    return headers.join(documents, same).unionByName(empty, allowMissingColumns=True)
 
 
 def order_id(key: Column, parcel: Column) -> Column:
@@ -238,12 +254,12 @@ def _total_amount(subtotal: Column, discount: Column, tax: Column) -> Column:
     return (subtotal - discount + tax + _shipping_cost()).cast(MONEY)
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """One JSON-like document (variant) per order or parcel, with its extracted keys.
+def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
+    """One nested ``document`` per order or parcel, with its extracted keys.
 
     Orders without lines carry an empty or no item list and zero totals.
     """
-    lines = parcelled_lines(spark, sf_dir, limit)
+    lines, split = parcelled_lines(spark, sf_dir, limit)
     item = F.struct(
         *LINE_ORDER,
         _id("PROD-", "l_partkey").alias("product_id"),
@@ -256,7 +272,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT
         F.min("l_shipdate").cast("date").alias("_shipped"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
     )
-    joined = _order_headers(spark, sf_dir).join(documents, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = _with_headers(_order_headers(spark, sf_dir), documents, split)
     parcel = F.coalesce("parcel", F.lit(0))
     key = F.col("o_orderkey")
     items = F.transform(
@@ -296,15 +312,21 @@ def raw_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT
         ).alias("totals"),
     )
     return joined.select(
-        F.to_variant_object(document).alias("raw_data"),
+        document.alias("document"),
         order_id(key, parcel).alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
     )
 
 
+def raw_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
+    """Order documents as variants."""
+    return order_documents(spark, sf_dir, limit).select(
+        F.to_variant_object("document").alias("raw_data"), "order_id", "order_date")
+
+
 def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
     """The silver order headers straight from the tables: sums per order combine on the map side."""
-    lines = parcelled_lines(spark, sf_dir, limit)
+    lines, split = parcelled_lines(spark, sf_dir, limit)
     totals = lines.groupBy("l_orderkey", "parcel").agg(
         F.count(F.lit(1)).alias("total_items"),
         F.sum(F.col("l_quantity").cast("decimal(18,2)").cast("decimal(28,0)")).alias("total_quantity"),
@@ -312,7 +334,7 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
         F.min("l_shipdate").cast("date").alias("ship_date"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
     )
-    joined = _order_headers(spark, sf_dir).join(totals, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = _with_headers(_order_headers(spark, sf_dir), totals, split)
     key, date = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     zero = F.lit(Decimal("0.0000"))
     amounts = {n: F.coalesce(f"_{n}", zero) for n in ("subtotal", "discount", "tax")}
@@ -353,7 +375,7 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
 
 def silver_order_items(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
     """The silver items straight from the lines; a document's window holds a bounded number of lines."""
-    lines = parcelled_lines(spark, sf_dir, limit)
+    lines, _ = parcelled_lines(spark, sf_dir, limit)
     position = Window.partitionBy("l_orderkey", "parcel").orderBy(*LINE_ORDER)
     typed = lines.select(
         order_id(F.col("l_orderkey"), F.col("parcel")).alias("order_id"),
@@ -370,7 +392,7 @@ def silver_order_items(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_
 # --- events and run log ------------------------------------------------------------------------
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     document = F.struct(
         _id("EVT-", "event_id").alias("event_id"),
@@ -384,7 +406,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("event_value"),
         F.from_json("props", "k long").alias("properties"),
     )
-    return e.select(F.to_variant_object(document).alias("raw_data"), F.to_json(document).alias("text"))
+    return e.select(document.alias("document"))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_documents(spark, sf_dir).select(F.to_variant_object("document").alias("raw_data"))
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
