@@ -12,10 +12,16 @@ def variant_array(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "array<variant>")
 
 
-def flatten_items(raw: DataFrame, path: str = "$.items", doc: str = "raw_data") -> DataFrame:
-    """One row per array element with its 0-based ``index`` and ``value``; empty and missing arrays drop out."""
+def flatten_items(raw: DataFrame, path: str = "$.items", doc: str = "raw_data",
+                  element: str = "variant") -> DataFrame:
+    """One row per array element with its 0-based ``index`` and ``value``; empty and missing arrays drop out.
+
+    ``element`` types the value while the document is read once (a field that does not convert is NULL);
+    the default keeps it a variant.
+    """
     others = [c for c in raw.columns if c != doc]
-    return raw.select(*others, F.posexplode(variant_array(F.col(doc), path)).alias("index", "value"))
+    elements = F.try_variant_get(F.col(doc), path, f"array<{element}>")
+    return raw.select(*others, F.posexplode(elements).alias("index", "value"))
 
 
 def item_aggregates(doc: Column, path: str = "$.items") -> dict[str, Column]:
@@ -23,16 +29,12 @@ def item_aggregates(doc: Column, path: str = "$.items") -> dict[str, Column]:
 
     Quantities are whole numbers (a fraction rounds); the sum over no items is NULL, as in SQL.
     """
-    items = variant_array(doc, path)
-    quantities = F.array_compact(
-        F.transform(items, lambda i: F.try_variant_get(i, "$.quantity", QUANTITY))
-    )
+    items = F.try_variant_get(doc, path, f"array<struct<product_id:string,quantity:{QUANTITY}>>")
+    quantities = F.array_compact(items["quantity"])
     total = F.aggregate(quantities, F.lit(0).cast(QUANTITY), lambda acc, q: (acc + q).cast(QUANTITY))
-    products = F.array_compact(F.transform(items, lambda i: F.try_variant_get(i, "$.product_id", "string")))
+    products = F.array_distinct(F.array_compact(items["product_id"]))
     return {
         "total_items": F.when(items.isNotNull(), F.size(items)).cast("long"),
         "total_quantity": F.when(F.size(quantities) > 0, total),
-        "unique_products": F.coalesce(
-            F.when(items.isNotNull(), F.size(F.array_distinct(products))), F.lit(0)
-        ).cast("long"),
+        "unique_products": F.coalesce(F.when(items.isNotNull(), F.size(products)), F.lit(0)).cast("long"),
     }

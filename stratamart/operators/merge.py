@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import stage
-from .ranking import with_surrogate_key
+from .ranking import dense_number, stage_numbered
 
 ACTION = "_merge_action"
 BUCKET = "_bucket"
@@ -16,12 +16,11 @@ BUCKET = "_bucket"
 def latest_by_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key: the one greatest in ``order_by``.
 
-    ``max_by`` combines on the map side, so a key that holds a large share of the rows is already one
-    row per task before the shuffle.
+    Asking for the first row only lets Spark keep one row per key and task before the shuffle, so a key
+    that holds a large share of the rows does not gather in one task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_row"))
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    newest_first = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() for c in order_by))
+    return df.withColumn("_n", F.row_number().over(newest_first)).where("_n = 1").drop("_n")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
@@ -124,13 +123,19 @@ def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols:
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     insert_cols = insert_cols or [c for c in source.columns]
     on_insert = on_insert or {}
-    source = stage(source, "merge-source")
+    numbered = stage_numbered(source, "merge-source")
+    source = numbered.drop("_slice", "_pos")
+
+    def new_rows(start: int) -> DataFrame:
+        """Source rows as they are inserted; the surrogate key counts on in arrival order, with gaps
+        where a source row turns out to be an update."""
+        if not surrogate:
+            return source.select(*insert_cols).withColumns(on_insert)
+        keyed = dense_number(numbered, start).withColumnRenamed("_number", surrogate)
+        return keyed.select(surrogate, *insert_cols).withColumns(on_insert)
 
     if not table_exists(spark, path):
-        first = source.select(*insert_cols).withColumns(on_insert)
-        if surrogate:
-            first = with_surrogate_key(first, surrogate, keys)
-        write_bucketed(first.withColumn(BUCKET, bucket), path, cluster_by=cluster_by)
+        write_bucketed(new_rows(0).withColumn(BUCKET, bucket), path, cluster_by=cluster_by)
         return MergeCounts(source.count(), 0)
 
     # At most `buckets` numbers.
@@ -139,30 +144,20 @@ def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols:
         return MergeCounts(0, 0)
     whole = spark.read.parquet(path)
     target = whole.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    last = (whole.agg(F.max(surrogate)).first()[0] or 0) if surrogate else 0
 
     if not update_cols and not on_update:
-        fresh = source.select(*insert_cols).join(target.select(*keys), keys, "left_anti")
-        fresh = stage(fresh.withColumns(on_insert), "merge-new")
+        fresh = stage(new_rows(last).join(target.select(*keys), keys, "left_anti"), "merge-new")
         added = fresh.count()
-        if added and surrogate:
-            last = whole.agg(F.max(surrogate)).first()[0]
-            fresh = with_surrogate_key(fresh, surrogate, keys, last or 0)
         if added:
-            write_bucketed(fresh.withColumn(BUCKET, bucket).select(*target.columns, BUCKET), path, "append",
-                           cluster_by)
+            columns = [*target.columns, BUCKET]
+            write_bucketed(fresh.withColumn(BUCKET, bucket).select(*columns), path, "append", cluster_by)
         return MergeCounts(added, 0)
 
-    merged = stage(
-        merge_upsert(target, source, keys, update_cols, insert_cols, on_update, on_insert, with_action=True),
-        "merged",
-    )
+    inserts = [surrogate, *insert_cols] if surrogate else insert_cols
+    merged = merge_upsert(target, new_rows(last).select(*dict.fromkeys([*inserts, *update_cols])), keys, update_cols,
+                          inserts, on_update, on_insert, with_action=True)
+    merged = stage(merged, "merged")
     counts = {r[ACTION]: r["count"] for r in merged.groupBy(ACTION).count().collect()}
-    result = merged.drop(ACTION)
-    if surrogate:
-        last = whole.agg(F.max(surrogate)).first()[0]
-        fresh = with_surrogate_key(merged.where(F.col(ACTION) == "inserted").drop(ACTION, surrogate),
-                                   surrogate, keys, last or 0)
-        known = merged.where(F.col(ACTION) != "inserted").drop(ACTION)
-        result = known.unionByName(fresh)
-    write_bucketed(result.withColumn(BUCKET, bucket), path, cluster_by=cluster_by)
+    write_bucketed(merged.drop(ACTION).withColumn(BUCKET, bucket), path, cluster_by=cluster_by)
     return MergeCounts(counts.get("inserted", 0), counts.get("updated", 0))

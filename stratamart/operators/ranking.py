@@ -28,9 +28,12 @@ def ordered_slices(df: DataFrame, keys: list[SortKey], slices: int | None = None
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
+    return _split_id(stage(numbered, "slices"))
+
+
+def _split_id(numbered: DataFrame) -> DataFrame:
     return (
-        stage(numbered, "slices")
-        .withColumn("_slice", F.shiftright("_id", _POSITION_BITS))
+        numbered.withColumn("_slice", F.shiftright("_id", _POSITION_BITS))
         .withColumn("_pos", F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
         .drop("_id")
     )
@@ -48,11 +51,20 @@ def slice_offsets(sliced: DataFrame, weight: Column | None = None) -> DataFrame:
 def with_row_index(df: DataFrame, keys: list[SortKey], out: str, start: int = 0,
                    slices: int | None = None) -> DataFrame:
     """Dense numbering ``start + 1 ..`` in sort order. The keys must identify a row."""
-    sliced = ordered_slices(df, keys, slices)
-    # One row per slice, and the number of slices is a setting: a safe broadcast.
+    return dense_number(ordered_slices(df, keys, slices), start).withColumnRenamed("_number", out)
+
+
+def stage_numbered(df: DataFrame, label: str = "numbered") -> DataFrame:
+    """``df`` written once with ``_slice`` and 0-based ``_pos`` in arrival order: no sort, no shuffle."""
+    return _split_id(stage(df.withColumn("_id", F.monotonically_increasing_id()), label))
+
+
+def dense_number(numbered: DataFrame, start: int = 0) -> DataFrame:
+    """``_number``: ``start + 1 ..`` over the slices of a numbered table."""
+    # One row per written slice, so the offsets are a safe broadcast.
     return (
-        sliced.join(F.broadcast(slice_offsets(sliced)), "_slice")
-        .withColumn(out, F.col("_offset") + F.col("_pos") + F.lit(start + 1))
+        numbered.join(F.broadcast(slice_offsets(numbered)), "_slice")
+        .withColumn("_number", F.col("_offset") + F.col("_pos") + F.lit(start + 1))
         .drop("_slice", "_pos", "_offset")
     )
 
@@ -67,11 +79,12 @@ def global_rank(df: DataFrame, order: list[SortKey], out: str, within: tuple[str
                 small_rows: int = SMALL_ROWS, staged: bool = False) -> DataFrame:
     """RANK over the whole input, or inside each ``within`` group, whatever the group sizes.
 
-    Rows are first reduced to counts per distinct key, so a value shared by a third of the rows is one
-    row of the running count; the ranks are then joined back by value.
+    Where no group exceeds ``small_rows`` the plain window is used. Beyond that, rows are first reduced
+    to counts per distinct key, so a value shared by a third of the rows is one row of the running
+    count; the ranks are then joined back by value.
     """
     rows = df if staged else stage(df, "rank")
-    if small_rows and rows.count() <= small_rows:
+    if small_rows and _largest_group(rows, within) <= small_rows:
         window = Window.partitionBy(*within) if within else Window.partitionBy()
         return rows.withColumn(out, F.rank().over(window.orderBy(*(k.column() for k in order))).cast("long"))
 
@@ -93,6 +106,13 @@ def global_rank(df: DataFrame, order: list[SortKey], out: str, within: tuple[str
     return _join_null_safe(rows, ranks, group + names)
 
 
+def _largest_group(rows: DataFrame, within: tuple[str, ...]) -> int:
+    """Rows one task of the plain window would get."""
+    if not within:
+        return rows.count()
+    return rows.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     match = F.lit(True)

@@ -203,16 +203,16 @@ def silver_order_items(raw: DataFrame, existing: DataFrame | None = None) -> Dat
 
     When the raw frame has lineage, a document sent twice in the batch counts once (the latest).
     """
-    items = flatten_items(raw)
-    value = lambda path, kind: F.try_variant_get("value", path, kind)
+    element = f"struct<product_id:string,quantity:{QUANTITY},unit_price:{MONEY},discount_percent:{PERCENT}>"
+    items = flatten_items(raw, element=element)
     keys = ["order_id", "line_number"]
     lines = items.select(
         _order_id(items).alias("order_id"),
-        value("$.product_id", "string").alias("product_id"),
+        F.col("value.product_id").alias("product_id"),
         (F.col("index") + 1).cast("long").alias("line_number"),
-        value("$.quantity", QUANTITY).alias("quantity"),
-        value("$.unit_price", MONEY).alias("unit_price"),
-        F.coalesce(value("$.discount_percent", PERCENT), F.lit(0).try_cast(PERCENT)).alias("discount_percent"),
+        F.col("value.quantity").alias("quantity"),
+        F.col("value.unit_price").alias("unit_price"),
+        F.coalesce(F.col("value.discount_percent"), F.lit(0).cast(PERCENT)).alias("discount_percent"),
         *_audit(items, ("record_id",)),
     )
     amounts = line_amounts(F.col("quantity"), F.col("unit_price"), F.col("discount_percent"))

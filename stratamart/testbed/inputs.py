@@ -12,7 +12,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions.dates import day_of_week, is_weekend
+from ..functions.dates import date_key, day_of_week, is_weekend
 from ..functions.numeric import MONEY, PERCENT
 from ..plans import dims, silver
 
@@ -221,15 +221,21 @@ def _line_percent() -> Column:
     return (F.col("l_discount").cast("decimal(8,2)") * 100).cast(PERCENT)
 
 
+def _units(column: str) -> Column:
+    """A two-decimal amount as a whole number of hundredths."""
+    return F.round(F.col(column) * 100).cast("long")
+
+
 def _totals() -> dict[str, Column]:
-    """Document totals from its lines: exact decimals."""
-    gross = _money("l_extendedprice")
-    discount = (gross * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY)
-    tax = (gross * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)
+    """Document totals from its lines, summed as whole hundredths and ten-thousandths: exact."""
+    def amount(units: Column, place: str) -> Column:
+        return (F.sum(units).cast("decimal(18,0)") * F.lit(Decimal(place))).cast(MONEY)
+
+    gross = _units("l_extendedprice")
     return {
-        "subtotal": F.sum(gross).cast(MONEY),
-        "discount": F.sum(discount).cast(MONEY),
-        "tax": F.sum(tax).cast(MONEY),
+        "subtotal": amount(gross, "0.01"),
+        "discount": amount(gross * _units("l_discount"), "0.0001"),
+        "tax": amount(gross * _units("l_tax"), "0.0001"),
     }
 
 
@@ -329,7 +335,7 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
     lines, split = parcelled_lines(spark, sf_dir, limit)
     totals = lines.groupBy("l_orderkey", "parcel").agg(
         F.count(F.lit(1)).alias("total_items"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)").cast("decimal(28,0)")).alias("total_quantity"),
+        F.sum(F.round("l_quantity").cast("long")).alias("total_quantity"),
         F.countDistinct("l_partkey").alias("unique_products"),
         F.min("l_shipdate").cast("date").alias("ship_date"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
@@ -373,11 +379,10 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
     )
 
 
-def silver_order_items(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """The silver items straight from the lines; a document's window holds a bounded number of lines."""
-    lines, _ = parcelled_lines(spark, sf_dir, limit)
+def _order_items(lines: DataFrame) -> DataFrame:
     position = Window.partitionBy("l_orderkey", "parcel").orderBy(*LINE_ORDER)
     typed = lines.select(
+        "l_orderkey",
         order_id(F.col("l_orderkey"), F.col("parcel")).alias("order_id"),
         _id("PROD-", "l_partkey").alias("product_id"),
         F.row_number().over(position).cast("long").alias("line_number"),
@@ -389,6 +394,29 @@ def silver_order_items(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_
         silver.line_amounts(F.col("quantity"), F.col("unit_price"), F.col("discount_percent")))
 
 
+def silver_order_items(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
+    """The silver items straight from the lines; a document's window holds a bounded number of lines."""
+    lines, _ = parcelled_lines(spark, sf_dir, limit)
+    return _order_items(lines).drop("l_orderkey")
+
+
+def items_and_headers(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> tuple[DataFrame, DataFrame]:
+    """Silver items, and the order fact's columns that the line fact needs."""
+    lines, split = parcelled_lines(spark, sf_dir, limit)
+    items = _order_items(lines)
+    orders = table(spark, sf_dir, "orders")
+    if split:
+        ids = items.select("l_orderkey", "order_id").distinct()
+        orders = orders.join(ids, F.col("o_orderkey") == F.col("l_orderkey"))
+    else:
+        orders = orders.withColumn("order_id", order_id(F.col("o_orderkey"), F.lit(0)))
+    date = F.col("o_orderdate").cast("date")
+    headers = orders.select(
+        "order_id", date_key(date).alias("date_sk"), (F.col("o_custkey") * 2).alias("customer_sk"),
+        date.alias("order_date"), _id("CUST-", "o_custkey").alias("customer_id"))
+    return items.drop("l_orderkey"), headers
+
+
 # --- events and run log ------------------------------------------------------------------------
 
 

@@ -610,15 +610,8 @@ def fact_sales(spark, sf_dir):
 
 
 def _sales_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    header = inputs.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"),
-        F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"))
-    items = inputs.silver_order_items(spark, sf_dir)
-    base = F.regexp_extract("order_id", "^ORD-([0-9]+)", 1).cast("long")
-    sales = items.select("order_id").distinct().join(header, base == F.col("o_orderkey")).select(
-        "order_id", facts.date_key(F.col("order_date")).alias("date_sk"),
-        inputs.customer_key().alias("customer_sk"), "order_date", "customer_id")
-    return facts.fact_sales_items(items, sales, inputs.dim_product(spark, sf_dir))
+    items, headers = inputs.items_and_headers(spark, sf_dir)
+    return facts.fact_sales_items(items, headers, inputs.dim_product(spark, sf_dir))
 
 
 @query
