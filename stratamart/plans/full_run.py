@@ -103,7 +103,7 @@ def consume(spark: SparkSession, house: Warehouse, table: RawTable, consumer: st
     stored = spark.read.parquet(path).schema
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(~F.col("rejected")).select(*LINEAGE_COLUMNS, *table.data_columns())
+        good = batch.where(F.col("rejected") == 0).select(*LINEAGE_COLUMNS, *table.data_columns())
         merge(house, good, as_of, _clock())
 
     return drain(read_growing(spark, path, stored), f"{house.root}/checkpoints/{consumer}", run)
@@ -127,7 +127,7 @@ def transform_events(spark: SparkSession, house: Warehouse) -> None:
     path = f"{house.bronze}/{RAW_EVENTS.name}"
     stream = read_growing(spark, path, spark.read.parquet(path).schema)
     append_only(
-        stream.where(~F.col("rejected")), house.table("silver", "events"), f"{house.root}/checkpoints/silver_events",
+        stream.where(F.col("rejected") == 0), house.table("silver", "events"), f"{house.root}/checkpoints/silver_events",
         silver.silver_events,
     ).awaitTermination()
 

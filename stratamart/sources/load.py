@@ -101,7 +101,7 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
 
     The file stream's checkpoint remembers the loaded files, so a rerun loads nothing. Every micro-batch
     overwrites its own ``epoch`` partition, so a batch replayed after a failure is not doubled; bad
-    records go to the ``rejected=true`` partition in the same pass. On failure a FAILED row is logged
+    records go to the ``rejected=1`` partition in the same pass. On failure a FAILED row is logged
     and the error raised again.
     """
     fmt = fmt or table.fmt
@@ -120,12 +120,12 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
             .withColumn("record_id", record_id(first))
             .withColumn("load_timestamp", F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
             .select(*LINEAGE_COLUMNS, *table.data_columns(), "_batch_row", "_raw",
-                    F.lit(epoch).alias("epoch"), F.col("_rejected").alias("rejected"))
+                    F.lit(epoch).alias("epoch"), F.col("_rejected").cast("int").alias("rejected"))
         )
         seen = Observation()
         (
-            rows.observe(seen, F.count_if(~F.col("rejected")).alias("loaded"),
-                         F.count_if(F.col("rejected")).alias("rejected"),
+            rows.observe(seen, F.count_if(F.col("rejected") == 0).alias("loaded"),
+                         F.count_if(F.col("rejected") == 1).alias("rejected"),
                          F.max("_batch_row").alias("records"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("epoch", "rejected").parquet(target)
@@ -157,13 +157,13 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
 
 def read_raw(spark: SparkSession, table: RawTable, bronze: str) -> DataFrame:
     """The good records of a raw table."""
-    return spark.read.parquet(f"{bronze}/{table.name}").where(~F.col("rejected")).select(
+    return spark.read.parquet(f"{bronze}/{table.name}").where(F.col("rejected") == 0).select(
         *LINEAGE_COLUMNS, *table.data_columns()
     )
 
 
 def read_quarantine(spark: SparkSession, table: RawTable, bronze: str) -> DataFrame:
-    return spark.read.parquet(f"{bronze}/{table.name}").where(F.col("rejected")).select(
+    return spark.read.parquet(f"{bronze}/{table.name}").where(F.col("rejected") == 1).select(
         "filename", "file_row_number", F.col("_raw").alias("raw_record")
     )
 

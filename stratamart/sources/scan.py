@@ -137,12 +137,12 @@ def shape_json(numbered: DataFrame, fmt: FileFormat) -> DataFrame:
 
 
 def shape_csv(numbered: DataFrame, fmt: FileFormat, columns: list[str]) -> DataFrame:
-    rejected = F.col(CORRUPT).isNotNull() if fmt.strict else F.lit(False)
-    # The reader refuses a query over the corrupt text alone; the fallback names a data column too.
-    text = F.coalesce(F.col(CORRUPT), F.col(columns[0]))
+    # The reader refuses a query over the corrupt text alone, so the test names a data column too.
+    mark = F.concat(F.col(CORRUPT), F.coalesce(F.col(columns[0]), F.lit("")))
+    rejected = mark.isNotNull() if fmt.strict else F.lit(False)
     return numbered.select(
         *(_null_words(c) for c in columns), "filename", "file_row_number", "_file", "_batch_row",
-        F.lit(0).alias("_element"), F.when(rejected, text).alias("_raw"), rejected.alias("_rejected"),
+        F.lit(0).alias("_element"), F.when(rejected, F.col(CORRUPT)).alias("_raw"), rejected.alias("_rejected"),
     )
 
 
