@@ -14,7 +14,7 @@ from ..operators.scd2 import OPEN_END
 # Default calendar.
 CALENDAR_START, CALENDAR_END = "2020-01-01", "2025-12-31"
 
-# A calendar is a handful of rows whatever the data size; this bounds what may be broadcast.
+# A calendar is a handful of rows whatever the data size; this bounds the day-grain windows.
 MAX_CALENDAR_DAYS = 200_000
 
 # Columns a dimension merge overwrites.

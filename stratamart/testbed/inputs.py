@@ -45,9 +45,9 @@ def _part_of(text: str, index: Column) -> Column:
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation attributes: 25 rows, a fixed table."""
+    """Nation attributes; small enough for Spark to broadcast on its own size estimate."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey",
         "r_name",
         _part_of(STATES, F.col("n_nationkey") + 1).alias("state"),
@@ -71,8 +71,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("CUST-S", "s_suppkey").alias("customer_id"), F.col("s_suppkey").alias("k"),
         F.col("s_name").alias("name"), F.col("s_nationkey").alias("n"), F.lit("BUILDING").alias("market"),
     )
-    both = people.unionByName(firms).join(
-        F.broadcast(places(spark, sf_dir)), F.col("n") == F.col("n_nationkey"))
+    both = people.unionByName(firms).join(places(spark, sf_dir), F.col("n") == F.col("n_nationkey"))
     k, n = F.col("k"), F.col("n")
     ks = k.cast("string")
     registered = F.date_sub(F.lit(dt.date(2001, 12, 31)), (k % 1000).cast("int"))
@@ -107,8 +106,9 @@ def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_key(id_column: str = "customer_id") -> Column:
     """The surrogate key the tests give a customer: even for people, odd for firms."""
-    number = F.regexp_extract(id_column, "([0-9]+)$", 1).cast("long")
-    return number * 2 + F.when(F.col(id_column).startswith("CUST-S"), 1).otherwise(0)
+    c = F.col(id_column)
+    return F.when(c.startswith("CUST-S"), F.substr(c, F.lit(7)).cast("long") * 2 + 1).otherwise(
+        F.substr(c, F.lit(6)).cast("long") * 2)
 
 
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_key(id_column: str = "product_id") -> Column:
-    return F.regexp_extract(id_column, "([0-9]+)$", 1).cast("long")
+    return F.substr(F.col(id_column), F.lit(6)).cast("long")
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,14 +240,39 @@ def _totals() -> dict[str, Column]:
 
 
 def _order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with shipping place; the nation list is a fixed 25 rows."""
+    """Orders with their shipping place."""
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    shipped_to = people.join(F.broadcast(places(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
+    shipped_to = people.join(places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
     return table(spark, sf_dir, "orders").join(
         shipped_to, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
 
 
+def _document_keys(split: bool) -> list[str]:
+    """Without split orders the order key alone groups the lines, so that the join on it needs no
+    second shuffle."""
+    return ["l_orderkey", "parcel"] if split else ["l_orderkey"]
+
+
+def _document_totals(lines: DataFrame, split: bool, products: bool) -> DataFrame:
+    """Per document: lines, quantity, amounts and, on request, distinct products.
+
+    Plain sums combine before the shuffle. Distinct products need every line anyway: the lines are
+    spread once by document and both aggregations and the join use that partitioning.
+    """
+    if products and not split:
+        lines = lines.repartition("l_orderkey")
+    unique = [F.countDistinct("l_partkey").alias("unique_products")] if products else []
+    totals = lines.groupBy(*_document_keys(split)).agg(
+        F.count(F.lit(1)).alias("total_items"),
+        F.sum(F.round("l_quantity").cast("long")).alias("total_quantity"),
+        *unique,
+        F.min("l_shipdate").cast("date").alias("ship_date"),
+        *(c.alias(f"_{n}") for n, c in _totals().items()),
+    )
+    return totals if split else totals.withColumn("parcel", F.lit(0).cast("long"))
+
+
 def _ship_mode() -> Column:
     return _part_of(SHIP_MODES, F.col("o_orderkey") % 3 + 1)
 
@@ -273,11 +298,13 @@ def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOC
         _unit_price().alias("unit_price"),
         _line_percent().alias("discount_percent"),
     )
-    documents = lines.groupBy("l_orderkey", "parcel").agg(
+    documents = lines.groupBy(*_document_keys(split)).agg(
         F.sort_array(F.collect_list(item)).alias("_items"),
         F.min("l_shipdate").cast("date").alias("_shipped"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
     )
+    if not split:
+        documents = documents.withColumn("parcel", F.lit(0).cast("long"))
     joined = _with_headers(_order_headers(spark, sf_dir), documents, split)
     parcel = F.coalesce("parcel", F.lit(0))
     key = F.col("o_orderkey")
@@ -330,24 +357,20 @@ def raw_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT
         F.to_variant_object("document").alias("raw_data"), "order_id", "order_date")
 
 
-def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """The silver order headers straight from the tables: sums per order combine on the map side."""
-    lines, split = parcelled_lines(spark, sf_dir, limit)
-    totals = lines.groupBy("l_orderkey", "parcel").agg(
-        F.count(F.lit(1)).alias("total_items"),
-        F.sum(F.round("l_quantity").cast("long")).alias("total_quantity"),
-        F.countDistinct("l_partkey").alias("unique_products"),
-        F.min("l_shipdate").cast("date").alias("ship_date"),
-        *(c.alias(f"_{n}") for n, c in _totals().items()),
-    )
-    joined = _with_headers(_order_headers(spark, sf_dir), totals, split)
+def _typed_orders(headers: DataFrame, totals: DataFrame, split: bool) -> DataFrame:
+    """Order columns that need no shipping place, and the customer key the stored fact would hold."""
+    joined = _with_headers(headers, totals, split)
     key, date = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     zero = F.lit(Decimal("0.0000"))
     amounts = {n: F.coalesce(f"_{n}", zero) for n in ("subtotal", "discount", "tax")}
     whole = {n: F.round(c, 0).cast("decimal(38,0)") for n, c in amounts.items()}
+    unique = [F.coalesce("unique_products", F.lit(0)).alias("unique_products")] if "unique_products" in totals.columns else []
+    place = [c for c in ("o_custkey", "state", "country") if "state" in headers.columns]
     return joined.select(
+        *place,
         order_id(key, F.coalesce("parcel", F.lit(0))).alias("order_id"),
         _id("CUST-", "o_custkey").alias("customer_id"),
+        (F.col("o_custkey") * 2).alias("customer_sk"),
         date.alias("order_date"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 10:30:00")).cast("timestamp_ntz")
         .alias("order_timestamp"),
@@ -355,11 +378,6 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
         F.upper("o_orderpriority").alias("order_priority"),
         "ship_date",
         _ship_mode().alias("ship_mode"),
-        F.concat(F.col("o_custkey").cast("string"), F.lit(" Main Street")).alias("shipping_address"),
-        F.concat(F.lit("City "), (F.col("o_custkey") % 40).cast("string")).alias("shipping_city"),
-        F.col("state").alias("shipping_state"),
-        F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("shipping_zip"),
-        F.trim("country").alias("shipping_country"),
         amounts["subtotal"].cast(MONEY).alias("subtotal"),
         amounts["discount"].cast(MONEY).alias("discount_amount"),
         silver.order_discount_percent(whole["subtotal"], whole["discount"]).alias("discount_percent"),
@@ -368,7 +386,24 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
         _total_amount(**amounts).alias("total_amount"),
         F.coalesce("total_items", F.when(key % 2 == 0, 0)).alias("total_items"),
         F.col("total_quantity").cast("decimal(38,0)").alias("total_quantity"),
-        F.coalesce("unique_products", F.lit(0)).alias("unique_products"),
+        *unique,
+    )
+
+
+def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
+    """The silver order headers straight from the tables."""
+    lines, split = parcelled_lines(spark, sf_dir, limit)
+    totals = _document_totals(lines, split, products=True)
+    date = F.col("order_date")
+    return _typed_orders(_order_headers(spark, sf_dir), totals, split).select(
+        "order_id", "customer_id", date, "order_timestamp", "order_status", "order_priority", "ship_date", "ship_mode",
+        F.concat(F.col("o_custkey").cast("string"), F.lit(" Main Street")).alias("shipping_address"),
+        F.concat(F.lit("City "), (F.col("o_custkey") % 40).cast("string")).alias("shipping_city"),
+        F.col("state").alias("shipping_state"),
+        F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("shipping_zip"),
+        F.trim("country").alias("shipping_country"),
+        "subtotal", "discount_amount", "discount_percent", "tax_amount", "shipping_cost", "total_amount",
+        "total_items", "total_quantity", "unique_products",
         F.year(date).alias("order_year"),
         F.month(date).alias("order_month"),
         F.quarter(date).alias("order_quarter"),
@@ -379,6 +414,14 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
     )
 
 
+def order_measures(spark: SparkSession, sf_dir: str, products: bool = False) -> DataFrame:
+    """The same orders without shipping place (no customer join) and, unless asked, without the
+    distinct-product count: what the daily snapshot and the sales views read of the stored tables."""
+    lines, split = parcelled_lines(spark, sf_dir)
+    totals = _document_totals(lines, split, products)
+    return _typed_orders(table(spark, sf_dir, "orders"), totals, split)
+
+
 def _order_items(lines: DataFrame) -> DataFrame:
     position = Window.partitionBy("l_orderkey", "parcel").orderBy(*LINE_ORDER)
     typed = lines.select(

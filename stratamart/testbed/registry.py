@@ -313,7 +313,7 @@ _CLOCKS = ["silver_load_ts", "silver_update_ts", "bronze_load_ts"]
 def merge_upsert_query(spark, sf_dir):
     """The plain operator on a plain table: balances of re-sent customers are replaced."""
     people = inputs.table(spark, sf_dir, "customer").join(
-        F.broadcast(inputs.places(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
+        inputs.places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
     first = people.where(FIRST_BATCH).select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
     second = people.where(SECOND_BATCH).select(
         "c_custkey", F.lit("ignored").alias("c_name"),
@@ -347,8 +347,8 @@ def merge_products(spark, sf_dir):
     return house.read(spark, "silver", "products").drop("product_sk", *_CLOCKS)
 
 
-def _order_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    orders = inputs.silver_orders(spark, sf_dir)
+def _order_batches(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    orders = orders if orders is not None else inputs.silver_orders(spark, sf_dir)
     first = orders.where(F.col("order_date") < ORDERS_UNTIL)
     second = orders.where(F.col("order_date") >= ORDERS_FROM).withColumns({
         "order_status": F.lit("SHIPPED"), "ship_date": F.date_add("order_date", 3),
@@ -359,7 +359,7 @@ def _order_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 @query
 def merge_orders(spark, sf_dir):
-    first, second = _order_batches(spark, sf_dir)
+    first, second = _order_batches(spark, sf_dir, inputs.order_measures(spark, sf_dir))
     merged = merge_upsert(first, second, ["order_id"], silver.ORDER_UPDATE_COLUMNS)
     return merged.select("order_id", "customer_id", "order_date", "order_status", "ship_date", "ship_mode",
                          "subtotal", "total_amount", "total_items")
@@ -406,7 +406,7 @@ def merge_fact_sales(spark, sf_dir):
 @query
 def merge_daily_sales(spark, sf_dir):
     """Days from July 1999 are computed again after amounts grew; the stored new-customer count stays."""
-    orders = inputs.silver_orders(spark, sf_dir)
+    orders = inputs.order_measures(spark, sf_dir, products=True)
     first = facts.fact_daily_sales(orders, end=dt.date(1999, 12, 31)).withColumn("new_customers", F.lit(7).cast("long"))
     grown = orders.withColumn("total_amount", (F.col("total_amount") + 10).cast(MONEY))
     second = facts.fact_daily_sales(grown, start=ORDERS_FROM)
@@ -589,16 +589,12 @@ def _fact_sales(spark: SparkSession, sf_dir: str, orders: DataFrame | None = Non
 
 
 def _stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order fact as the views need it: the customer key is read off the id, as the stored fact has it."""
-    orders = inputs.silver_orders(spark, sf_dir)
-    return orders.select(
-        "order_id", facts.date_key(F.col("order_date")).alias("date_sk"),
-        inputs.customer_key().alias("customer_sk"), "order_date", "customer_id", "order_status",
-        "order_priority", "ship_mode", "total_items", "total_quantity", "unique_products", "subtotal",
-        "discount_amount", "discount_percent", "tax_amount", "shipping_cost", "total_amount",
-        (F.col("subtotal") * F.lit(Decimal(facts.PROFIT_SHARE))).cast(MONEY).alias("profit_amount"),
-        F.datediff("ship_date", "order_date").cast("long").alias("days_to_ship"),
-    )
+    """The order fact as the views read it: the columns of the stored table, without its lookups."""
+    return inputs.order_measures(spark, sf_dir).withColumns({
+        "date_sk": facts.date_key(F.col("order_date")),
+        "profit_amount": (F.col("subtotal") * F.lit(Decimal(facts.PROFIT_SHARE))).cast(MONEY),
+        "days_to_ship": F.datediff("ship_date", "order_date").cast("long"),
+    })
 
 
 @query
@@ -621,13 +617,14 @@ def fact_sales_items(spark, sf_dir):
 
 @query
 def fact_daily_sales(spark, sf_dir):
-    return facts.fact_daily_sales(inputs.silver_orders(spark, sf_dir))
+    return facts.fact_daily_sales(inputs.order_measures(spark, sf_dir, products=True))
 
 
 @query
 def daily_sales_trends(spark, sf_dir):
-    orders = inputs.silver_orders(spark, sf_dir)
-    return facts.daily_sales_trends(facts.fact_daily_sales(orders), orders)
+    orders = inputs.order_measures(spark, sf_dir)
+    daily = facts.fact_daily_sales(orders.withColumn("unique_products", F.lit(None).cast("long")))
+    return facts.daily_sales_trends(daily, orders)
 
 
 @query
@@ -645,8 +642,8 @@ def fact_product_performance(spark, sf_dir):
 
 @query
 def v_sales_overview(spark, sf_dir):
-    daily = facts.fact_daily_sales(inputs.silver_orders(spark, sf_dir))
-    return views.v_sales_overview(daily, _calendar(spark, sf_dir))
+    orders = inputs.order_measures(spark, sf_dir).withColumn("unique_products", F.lit(None).cast("long"))
+    return views.v_sales_overview(facts.fact_daily_sales(orders), _calendar(spark, sf_dir))
 
 
 @query
