@@ -24,17 +24,22 @@ def flatten_items(raw: DataFrame, path: str = "$.items", doc: str = "raw_data",
     return raw.select(*others, F.posexplode(elements).alias("index", "value"))
 
 
-def item_aggregates(doc: Column, path: str = "$.items") -> dict[str, Column]:
-    """Item count, total quantity and distinct products inside one document, with no shuffle.
+def counted_items(doc: Column, path: str = "$.items") -> Column:
+    """The item fields that the aggregates need, typed in one read of the document."""
+    return F.try_variant_get(doc, path, f"array<struct<product_id:string,quantity:{QUANTITY}>>")
+
+
+def item_aggregates(items: str) -> dict[str, Column]:
+    """Item count, total quantity and distinct products of an item array column, with no shuffle.
 
     Quantities are whole numbers (a fraction rounds); the sum over no items is NULL, as in SQL.
     """
-    items = F.try_variant_get(doc, path, f"array<struct<product_id:string,quantity:{QUANTITY}>>")
-    quantities = F.array_compact(items["quantity"])
+    array = F.col(items)
+    quantities = F.array_compact(array["quantity"])
     total = F.aggregate(quantities, F.lit(0).cast(QUANTITY), lambda acc, q: (acc + q).cast(QUANTITY))
-    products = F.array_distinct(F.array_compact(items["product_id"]))
+    products = F.array_distinct(F.array_compact(array["product_id"]))
     return {
-        "total_items": F.when(items.isNotNull(), F.size(items)).cast("long"),
+        "total_items": F.when(array.isNotNull(), F.size(array)).cast("long"),
         "total_quantity": F.when(F.size(quantities) > 0, total),
-        "unique_products": F.coalesce(F.when(items.isNotNull(), F.size(products)), F.lit(0)).cast("long"),
+        "unique_products": F.coalesce(F.when(array.isNotNull(), F.size(products)), F.lit(0)).cast("long"),
     }

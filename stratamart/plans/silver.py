@@ -12,7 +12,7 @@ from ..functions.numeric import MONEY, PERCENT, percent_of, try_decimal
 from ..functions.quality import dq_score
 from ..functions.text import EMAIL_LIKE, TRUE_WORDS, country_code, customer_tier, digits_only, looks_like_email, trim_upper
 from ..operators.changes import anti_new
-from ..operators.flatten import QUANTITY, flatten_items, item_aggregates
+from ..operators.flatten import QUANTITY, counted_items, flatten_items, item_aggregates
 from ..operators.merge import latest_by_key
 
 # The score given to every order, and pounds per kilogram.
@@ -128,6 +128,15 @@ def order_discount_percent(subtotal: Column, discount: Column) -> Column:
     return F.when(subtotal > 0, percent_of(discount, subtotal)).otherwise(F.lit(0.0)).try_cast(PERCENT)
 
 
+# The order document's header, typed in one read; a field that does not convert is NULL on its own.
+ORDER_HEADER = f"""struct<
+  order_id: string, customer_id: string, order_date: string, order_timestamp: string, order_status: string,
+  priority: string, ship_date: string, ship_mode: string,
+  shipping: struct<address: string, city: string, state: string, zip: string, country: string>,
+  totals: struct<subtotal: {MONEY}, discount: {MONEY}, tax: {MONEY}, shipping: {MONEY}, total: {MONEY}>
+>"""
+
+
 def silver_orders(raw: DataFrame, exact: bool = False) -> DataFrame:
     """Order headers from documents.
 
@@ -135,35 +144,37 @@ def silver_orders(raw: DataFrame, exact: bool = False) -> DataFrame:
     ``exact`` divides the amounts as they are. A bad number gives NULL instead of failing the batch.
     """
     whole = MONEY if exact else QUANTITY
+    header = F.col("_h")
     parsed = raw.select(
-        "*",
-        try_date(_text("$.order_date")).alias("_date"),
+        *(c for c in raw.columns if c in AUDIT_COLUMNS),
+        F.try_variant_get("raw_data", "$", ORDER_HEADER).alias("_h"),
         F.try_variant_get("raw_data", "$.totals.subtotal", whole).alias("_subtotal"),
         F.try_variant_get("raw_data", "$.totals.discount", whole).alias("_discount"),
-    )
+        counted_items(F.col("raw_data")).alias("_items"),
+    ).withColumn("_date", try_date(header["order_date"]))
     date = F.col("_date")
-    items = item_aggregates(F.col("raw_data"))
+    shipping, totals = header["shipping"], header["totals"]
     return parsed.select(
-        _text("$.order_id").alias("order_id"),
-        _text("$.customer_id").alias("customer_id"),
+        header["order_id"].alias("order_id"),
+        header["customer_id"].alias("customer_id"),
         date.alias("order_date"),
-        try_wall_clock(_text("$.order_timestamp")).alias("order_timestamp"),
-        F.upper(_text("$.order_status")).alias("order_status"),
-        F.upper(_text("$.priority")).alias("order_priority"),
-        try_date(_text("$.ship_date")).alias("ship_date"),
-        _text("$.ship_mode").alias("ship_mode"),
-        _text("$.shipping.address").alias("shipping_address"),
-        _text("$.shipping.city").alias("shipping_city"),
-        _text("$.shipping.state").alias("shipping_state"),
-        _text("$.shipping.zip").alias("shipping_zip"),
-        _text("$.shipping.country").alias("shipping_country"),
-        _money("$.totals.subtotal").alias("subtotal"),
-        _money("$.totals.discount").alias("discount_amount"),
+        try_wall_clock(header["order_timestamp"]).alias("order_timestamp"),
+        F.upper(header["order_status"]).alias("order_status"),
+        F.upper(header["priority"]).alias("order_priority"),
+        try_date(header["ship_date"]).alias("ship_date"),
+        header["ship_mode"].alias("ship_mode"),
+        shipping["address"].alias("shipping_address"),
+        shipping["city"].alias("shipping_city"),
+        shipping["state"].alias("shipping_state"),
+        shipping["zip"].alias("shipping_zip"),
+        shipping["country"].alias("shipping_country"),
+        totals["subtotal"].alias("subtotal"),
+        totals["discount"].alias("discount_amount"),
         order_discount_percent(F.col("_subtotal"), F.col("_discount")).alias("discount_percent"),
-        _money("$.totals.tax").alias("tax_amount"),
-        _money("$.totals.shipping").alias("shipping_cost"),
-        _money("$.totals.total").alias("total_amount"),
-        *(c.alias(name) for name, c in items.items()),
+        totals["tax"].alias("tax_amount"),
+        totals["shipping"].alias("shipping_cost"),
+        totals["total"].alias("total_amount"),
+        *(c.alias(name) for name, c in item_aggregates("_items").items()),
         F.year(date).alias("order_year"),
         F.month(date).alias("order_month"),
         F.quarter(date).alias("order_quarter"),

@@ -43,9 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="stratamart-"))
 
 
+def _app_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stratamart/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/stratamart/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, in this application's part of it."""
+    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's staged tables, once no frame still to be run depends on them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

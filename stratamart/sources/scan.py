@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.flatten import variant_array
 from ..schemas import text_schema
+from ..session import stage
+
+# Offsets of up to this many file blocks (about 100 bytes each) are sent to every executor.
+MAX_BROADCAST_BLOCKS = 500_000
 
 CORRUPT = "_corrupt"
 
@@ -81,9 +85,9 @@ def with_record_numbers(records: DataFrame) -> DataFrame:
     so a single huge file is numbered in parallel.
     """
     seen = records.withColumn("_id", F.monotonically_increasing_id())
-    blocks = seen.groupBy("_file", "_block").agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
+    # One row per file block (128 MB by default), from a pass that parses nothing; written once.
+    blocks = stage(
+        seen.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")), "blocks")
     by_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     overall = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
@@ -91,6 +95,9 @@ def with_record_numbers(records: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_rows").over(by_file), F.lit(0)).alias("_in_file"),
         F.coalesce(F.sum("_rows").over(overall), F.lit(0)).alias("_in_batch"),
     )
+    if blocks.count() <= MAX_BROADCAST_BLOCKS:
+        # Keeps the records where they were read; beyond the bound they are joined by a shuffle.
+        offsets = F.broadcast(offsets)
     position = F.col("_id") - F.col("_first") + 1
     return (
         seen.join(offsets, ["_file", "_block"])
@@ -146,8 +153,15 @@ def shape_csv(numbered: DataFrame, fmt: FileFormat, columns: list[str]) -> DataF
     )
 
 
-def shape_records(records: DataFrame, fmt: FileFormat, columns: list[str] | None = None) -> DataFrame:
-    numbered = with_record_numbers(records)
+def shape_records(records: DataFrame, fmt: FileFormat, columns: list[str] | None = None,
+                  number: bool = True) -> DataFrame:
+    if number:
+        numbered = with_record_numbers(records)
+    else:
+        # A whole-file document is its file's only record.
+        known = 1 if fmt.options.get("wholetext") == "true" else None
+        numbered = records.withColumns({
+            "file_row_number": F.lit(known).cast("long"), "_batch_row": F.lit(None).cast("long")})
     return shape_json(numbered, fmt) if fmt.kind == "json" else shape_csv(numbered, fmt, columns)
 
 
@@ -165,18 +179,23 @@ def matching_files(records: DataFrame, pattern: str | None) -> DataFrame:
 
 
 def scan_json(spark: SparkSession, path: str, pattern: str | None = None, multiline: bool = True,
-              strip_outer_array: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)``; good has ``raw_data`` (variant), ``filename``, ``file_row_number``."""
+              strip_outer_array: bool = True, number: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)``; good has ``raw_data`` (variant), ``filename``, ``file_row_number``.
+
+    Numbering lines needs a second, unparsed pass over the files; without ``number`` only the elements
+    of whole-file arrays are numbered.
+    """
     fmt = FileFormat("json", {"wholetext": str(multiline).lower()}, "*", strip_outer_array=strip_outer_array)
     records = matching_files(read_files(spark, path, fmt), pattern)
-    return split_rejects(shape_records(records, fmt))
+    return split_rejects(shape_records(records, fmt, number=number and not multiline))
 
 
 def scan_csv(spark: SparkSession, path: str, columns: list[str], fmt: FileFormat = CSV,
-             pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+             pattern: str | None = None, number: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(good, rejects)``; good has the columns as text, ``filename``, ``file_row_number``.
 
-    A strict format rejects records with too few or too many cells, a lenient one keeps them.
+    A strict format rejects records with too few or too many cells, a lenient one keeps them. Numbering
+    needs a second, unparsed pass over the files.
     """
     records = matching_files(read_files(spark, path, fmt, columns, glob="*"), pattern)
-    return split_rejects(shape_records(records, fmt, columns))
+    return split_rejects(shape_records(records, fmt, columns, number))

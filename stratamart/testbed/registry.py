@@ -71,7 +71,8 @@ def scan_json_array(spark, sf_dir):
 
 @query
 def scan_json_object(spark, sf_dir):
-    good, _ = scan.scan_json(spark, landing.events_json(spark, sf_dir), multiline=False, strip_outer_array=False)
+    good, _ = scan.scan_json(spark, landing.events_json(spark, sf_dir), multiline=False, strip_outer_array=False,
+                              number=False)
     return good.select(
         F.variant_get("raw_data", "$.event_id", "string").alias("event_id"),
         F.variant_get("raw_data", "$.properties.k", "long").alias("k"),
@@ -81,21 +82,21 @@ def scan_json_object(spark, sf_dir):
 
 @query
 def scan_csv(spark, sf_dir):
-    good, _ = scan.scan_csv(spark, landing.customers_csv(spark, sf_dir), CUSTOMER_COLUMNS)
+    good, _ = scan.scan_csv(spark, landing.customers_csv(spark, sf_dir), CUSTOMER_COLUMNS, number=False)
     return good.select(*CUSTOMER_COLUMNS)
 
 
 @query
 def scan_csv_noheader(spark, sf_dir):
     good, _ = scan.scan_csv(spark, landing.products_csv(spark, sf_dir, header=False), PRODUCT_COLUMNS,
-                            scan.CSV_NO_HEADER)
+                            scan.CSV_NO_HEADER, number=False)
     return good.select("product_id", "product_name", "category", "unit_price", "unit_cost", "is_active")
 
 
 @query
 def scan_pipe(spark, sf_dir):
     columns = ["supplier_id", "supplier_name", "nation", "comment"]
-    good, _ = scan.scan_csv(spark, landing.supplier_pipes(spark, sf_dir), columns, scan.PIPE)
+    good, _ = scan.scan_csv(spark, landing.supplier_pipes(spark, sf_dir), columns, scan.PIPE, number=False)
     return good.select(*columns)
 
 
@@ -115,7 +116,7 @@ def scan_file_metadata(spark, sf_dir):
 @query
 def scan_file_pattern(spark, sf_dir):
     path = landing.mixed_files(spark, sf_dir)
-    good, _ = scan.scan_json(spark, path, pattern=r".*\.json$", multiline=False)
+    good, _ = scan.scan_json(spark, path, pattern=r".*\.json$", multiline=False, number=False)
     return good.select(F.variant_get("raw_data", "$.event_id", "string").alias("event_id"),
                        F.variant_get("raw_data", "$.event_type", "string").alias("event_type"))
 
@@ -123,7 +124,7 @@ def scan_file_pattern(spark, sf_dir):
 @query
 def scan_rejects(spark, sf_dir):
     good, rejects = scan.scan_csv(spark, landing.ragged_lines(spark, sf_dir), ["id", "name", "segment"],
-                                  scan.CSV_NO_HEADER)
+                                  scan.CSV_NO_HEADER, number=False)
     kept = good.select("id", "segment", F.lit("loaded").alias("outcome"))
     refused = rejects.select(
         F.split_part("raw_record", F.lit(","), F.lit(1)).alias("id"), F.lit(None).cast("string").alias("segment"),
@@ -272,8 +273,8 @@ def flatten_items(spark, sf_dir):
 
 @query
 def item_array_aggregates(spark, sf_dir):
-    parts = flatten.item_aggregates(F.col("raw_data"))
-    return inputs.raw_orders(spark, sf_dir).select("order_id", *(c.alias(n) for n, c in parts.items()))
+    items = inputs.raw_orders(spark, sf_dir).select("order_id", flatten.counted_items(F.col("raw_data")).alias("items"))
+    return items.select("order_id", *(c.alias(n) for n, c in flatten.item_aggregates("items").items()))
 
 
 @query

@@ -185,3 +185,14 @@ def test_pct_of_total(spark, rows):
     assert rows(ranking.pct_of_total(df, "v", "p"), "g", "p") == [("a", 33.33), ("b", 66.67), ("c", None)]
     zero = frame(spark, [("a", 0)], "g string, v int")
     assert rows(ranking.pct_of_total(zero, "v", "p"), "p") == [(None,)]
+
+
+def test_scratch_is_named_by_the_session_and_can_be_cleared(spark, tmp_path):
+    from stratamart import session
+
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    other = spark.newSession()
+    staged = session.stage(other.range(3))
+    assert staged.count() == 3
+    path = session.scratch_path(spark, "x")
+    assert path.startswith(session.shared_dir(spark)) and spark.sparkContext.applicationId in path
