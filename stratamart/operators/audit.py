@@ -66,14 +66,18 @@ def _window_start(as_of: dt.datetime, hours: int) -> Column:
     return F.lit((as_of - dt.timedelta(hours=hours)).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def run_history(run_log: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
-    """Runs scheduled in the trailing window with their duration in seconds."""
-    return run_log.where(F.col("scheduled_time") >= _window_start(as_of, days * 24)).select(
+def run_history(run_log: DataFrame, as_of: dt.datetime, days: int = 7, limit: int | None = None) -> DataFrame:
+    """Runs scheduled in the trailing window with their duration in seconds, latest first.
+
+    ``limit`` caps the report (a top-k, not a global sort).
+    """
+    history = run_log.where(F.col("scheduled_time") >= _window_start(as_of, days * 24)).select(
         F.col("name").alias("task_name"), "database_name", "schema_name", "state", "scheduled_time",
         "query_start_time", "completed_time",
         second_boundaries(F.col("query_start_time"), F.col("completed_time")).alias("duration_seconds"),
         "error_code", "error_message", "return_value",
-    )
+    ).orderBy(F.col("scheduled_time").desc_nulls_first())
+    return history.limit(limit) if limit is not None else history
 
 
 def run_summary(run_log: DataFrame, as_of: dt.datetime, hours: int = 24) -> DataFrame:

@@ -238,13 +238,16 @@ def fact_product_performance(sales_items: DataFrame, products: DataFrame, small_
     per_month = Window.partitionBy("product_id", F.year(day), F.month(day)).orderBy(day).rowsBetween(
         Window.unboundedPreceding, 0)
     net, profit = F.col("net_revenue"), F.col("total_profit")
+    # Year before month: the partitioning by product and year also serves the monthly window.
     running = days.select(
         "*",
         F.when(net > 0, percent_of(profit, net)).otherwise(F.lit(0.0)).try_cast(PERCENT).alias("profit_margin"),
-        F.sum("quantity_sold").over(per_month).alias("mtd_quantity"),
-        F.sum(net).over(per_month).alias("mtd_revenue"),
         F.sum("quantity_sold").over(per_year).alias("ytd_quantity"),
         F.sum(net).over(per_year).alias("ytd_revenue"),
+    ).select(
+        "*",
+        F.sum("quantity_sold").over(per_month).alias("mtd_quantity"),
+        F.sum(net).over(per_month).alias("mtd_revenue"),
     ).join(category, "product_id", "left")
     order = [desc("net_revenue")]
     ranked = global_rank(running, order, "daily_revenue_rank", ("performance_date",), small_rows)

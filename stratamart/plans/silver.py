@@ -240,7 +240,10 @@ def _order_id(items: DataFrame) -> Column:
 
 
 def silver_events(raw: DataFrame) -> DataFrame:
-    """Typed events. Business hours are Monday to Friday, 09:00 to 16:59."""
+    """Typed events. Business hours are Monday to Friday, 09:00 to 16:59.
+
+    When the raw frame has lineage, an event sent twice in the batch counts once (the latest).
+    """
     typed = raw.select(
         "*",
         try_wall_clock(_text("$.event_timestamp")).alias("_ts"),
@@ -248,7 +251,7 @@ def silver_events(raw: DataFrame) -> DataFrame:
     ts = F.col("_ts")
     date = ts.cast("date")
     weekday = ~is_weekend(date)
-    return typed.select(
+    events = typed.select(
         _text("$.event_id").alias("event_id"),
         _text("$.event_type").alias("event_type"),
         _text("$.category").alias("event_category"),
@@ -271,3 +274,6 @@ def silver_events(raw: DataFrame) -> DataFrame:
         (weekday & (F.hour(ts) >= 9) & (F.hour(ts) < 17)).alias("is_business_hours"),
         *_audit(raw, ("record_id", "load_timestamp")),
     )
+    if "source_record_id" in events.columns:
+        events = latest_by_key(events, ["event_id"], ["source_record_id"])
+    return events

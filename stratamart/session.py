@@ -19,6 +19,8 @@ def build_session(app: str = "stratamart", master: str | None = None, shuffle_pa
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Recording the call site of every column expression costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

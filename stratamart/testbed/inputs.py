@@ -320,7 +320,7 @@ def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOC
         "array<struct<product_id:string,quantity:decimal(18,2),unit_price:decimal(18,4),discount_percent:decimal(8,4)>>"))
     zero = F.lit(Decimal("0.0000"))
     amounts = {n: F.coalesce(f"_{n}", zero) for n in ("subtotal", "discount", "tax")}
-    date_text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    date_text = F.col("o_orderdate").cast("date").cast("string")
     document = F.struct(
         order_id(key, parcel).alias("order_id"),
         _id("CUST-", "o_custkey").alias("customer_id"),
@@ -328,7 +328,7 @@ def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOC
         F.concat(date_text, F.lit("T10:30:00")).alias("order_timestamp"),
         F.lower("o_orderstatus").alias("order_status"),
         F.lower("o_orderpriority").alias("priority"),
-        F.date_format("_shipped", "yyyy-MM-dd").alias("ship_date"),
+        F.col("_shipped").cast("string").alias("ship_date"),
         _ship_mode().alias("ship_mode"),
         F.struct(
             F.concat(F.col("o_custkey").cast("string"), F.lit(" Main Street")).alias("address"),
@@ -372,7 +372,7 @@ def _typed_orders(headers: DataFrame, totals: DataFrame, split: bool) -> DataFra
         _id("CUST-", "o_custkey").alias("customer_id"),
         (F.col("o_custkey") * 2).alias("customer_sk"),
         date.alias("order_date"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 10:30:00")).cast("timestamp_ntz")
+        F.concat(date.cast("string"), F.lit(" 10:30:00")).cast("timestamp_ntz")
         .alias("order_timestamp"),
         F.upper("o_orderstatus").alias("order_status"),
         F.upper("o_orderpriority").alias("order_priority"),
@@ -468,7 +468,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.struct(
         _id("EVT-", "event_id").alias("event_id"),
         F.col("event_type").alias("event_type"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
+        F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")).alias("event_timestamp"),
         F.concat(F.lit("cat-"), F.col("event_type")).alias("category"),
         F.upper("event_type").alias("action"),
         F.col("user_id").cast("string").alias("user_id"),

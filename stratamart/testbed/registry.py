@@ -393,8 +393,9 @@ def merge_dim_product(spark, sf_dir):
 
 @query
 def merge_fact_sales(spark, sf_dir):
+    stored = stage(inputs.silver_orders(spark, sf_dir), "silver-orders")
     first, second = (
-        _fact_sales(spark, sf_dir, orders).drop("geography_sk") for orders in _order_batches(spark, sf_dir))
+        _fact_sales(spark, sf_dir, orders).drop("geography_sk") for orders in _order_batches(spark, sf_dir, stored))
     path = scratch_path(spark, "fact")
     for source in (first, second):
         merge_into_path(path, source, ["order_id"], facts.SALES_UPDATE_COLUMNS, surrogate="sales_sk",
@@ -584,8 +585,7 @@ def _geography(spark: SparkSession, orders: DataFrame) -> DataFrame:
     return places.withColumn("geography_sk", F.xxhash64("city", "state", "country"))
 
 
-def _fact_sales(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
-    orders = orders if orders is not None else inputs.silver_orders(spark, sf_dir)
+def _fact_sales(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     return facts.fact_sales(orders, _customer_keys(spark, sf_dir), _geography(spark, orders))
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 from decimal import Decimal
 
 import pytest
@@ -300,8 +301,8 @@ def test_run_layers_twice_and_with_a_resent_order(spark, tmp_path, rows):
     write_landing(landing, "products/p.csv", ",".join(PRODUCT_COLUMNS) + "\n" + ",".join(product()) + "\n")
     root, day = str(tmp_path / "house"), dt.date(2025, 3, 15)
 
-    def run():
-        return full_run.run_layers(spark, str(landing), root, AS_OF, day, day, buckets=2)
+    def run(since=None):
+        return full_run.run_layers(spark, str(landing), root, AS_OF, day, day, buckets=2, since=since)
 
     done = run()
     assert done["silver"] == {"customers": 1, "products": 1, "orders": 1, "order_items": 1}
@@ -324,7 +325,10 @@ def test_run_layers_twice_and_with_a_resent_order(spark, tmp_path, rows):
                     ship_date="2025-03-18")
     changed["order_status"] = "shipped"
     write_landing(landing, "orders/b.json", json.dumps([changed]))
-    run()
+    time.sleep(1.1)
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    merged = run(since=started)["gold"]["fact_sales"]
+    assert (merged.inserted, merged.updated) == (0, 1)
     resent = house.read(spark, "silver", "orders").where("order_id = 'O1'").first()
     assert (resent.order_status, resent.ship_mode, resent.total_amount) == ("SHIPPED", "Express", Decimal("77.0000"))
     assert resent.ship_date == dt.date(2025, 3, 18)
