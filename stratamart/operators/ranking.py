@@ -15,9 +15,18 @@ from .ordering import SortKey, asc, sorts_at_or_after
 # A written input at or below this many rows may use the plain window: the bound on one task's work.
 SMALL_ROWS = 100_000
 
+# Slices of a sorted input: at least a few, and about this many rows in each.
+MIN_SLICES, ROWS_PER_SLICE = 8, 250_000
+
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
+def _slice_count(df: DataFrame, rows: int) -> int:
+    """Slices for a known number of rows: the shuffle setting, fewer when slices would be tiny."""
+    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(setting, max(MIN_SLICES, -(-rows // ROWS_PER_SLICE)))
+
+
 def ordered_slices(df: DataFrame, keys: list[SortKey], slices: int | None = None) -> DataFrame:
     """``df`` written in range slices of the sort order, with ``_slice`` and 0-based ``_pos`` in it."""
     spark = df.sparkSession
@@ -84,13 +93,14 @@ def global_rank(df: DataFrame, order: list[SortKey], out: str, within: tuple[str
     count; the ranks are then joined back by value.
     """
     rows = df if staged else stage(df, "rank")
-    if small_rows and _largest_group(rows, within) <= small_rows:
+    largest = _largest_group(rows, within)
+    if largest <= small_rows:
         window = Window.partitionBy(*within) if within else Window.partitionBy()
         return rows.withColumn(out, F.rank().over(window.orderBy(*(k.column() for k in order))).cast("long"))
 
     group, names = list(within), [k.name for k in order]
     counts = rows.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_n"))
-    sliced = ordered_slices(counts, [asc(g) for g in group] + order)
+    sliced = ordered_slices(counts, [asc(g) for g in group] + order, _slice_count(rows, rows.count()))
     in_slice = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         sliced.join(F.broadcast(slice_offsets(sliced, F.col("_n"))), "_slice")
@@ -134,11 +144,12 @@ def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey], small_rows: int = SMA
     ``df`` is a written table. What reaches the driver: one count per slice and at most ``k - 1`` rows.
     """
     names = [key.name for key in keys]
-    if small_rows and (rows := df.count()) <= small_rows:
+    rows = df.count()
+    if rows <= small_rows:
         position = F.row_number().over(Window.orderBy(*(key.column() for key in keys))) - 1
         cuts = df.select(*names, position.alias("_at")).where(F.col("_at").isin(ntile_starts(rows, k)))
         return [tuple(r[n] for n in names) for r in sorted(cuts.collect(), key=lambda r: r["_at"])]
-    sliced = ordered_slices(df.select(*names), keys)
+    sliced = ordered_slices(df.select(*names), keys, _slice_count(df, rows))
     sizes = sorted((r["_slice"], r["count"]) for r in sliced.groupBy("_slice").count().collect())
     wanted = []
     offset = 0
