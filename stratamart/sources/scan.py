@@ -84,6 +84,7 @@ def with_record_numbers(records: DataFrame) -> DataFrame:
     the position in the block; block sizes then give the offsets. Only one row per block is windowed,
     so a single huge file is numbered in parallel.
     """
+    _pin_splits(records.sparkSession)
     seen = records.withColumn("_id", F.monotonically_increasing_id())
     # One row per file block (128 MB by default), from a pass that parses nothing; written once.
     blocks = stage(
@@ -91,22 +92,34 @@ def with_record_numbers(records: DataFrame) -> DataFrame:
     by_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     overall = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
-        "_file", "_block", "_first",
+        "_file", "_block", "_first", "_rows",
         F.coalesce(F.sum("_rows").over(by_file), F.lit(0)).alias("_in_file"),
         F.coalesce(F.sum("_rows").over(overall), F.lit(0)).alias("_in_batch"),
     )
     if blocks.count() <= MAX_BROADCAST_BLOCKS:
         # Keeps the records where they were read; beyond the bound they are joined by a shuffle.
         offsets = F.broadcast(offsets)
-    position = F.col("_id") - F.col("_first") + 1
+    offset = F.col("_id") - F.col("_first")
+    # Both passes must cut the files alike. A record outside its counted block stops the job, never
+    # drops out or gets another's number.
+    position = F.when((offset >= 0) & (offset < F.col("_rows")), offset + 1).otherwise(
+        F.raise_error(F.lit("file blocks changed while records were numbered")).cast("long"))
     return (
-        seen.join(offsets, ["_file", "_block"])
-        .withColumn("file_row_number", F.col("_in_file") + position)
-        .withColumn("_batch_row", F.col("_in_batch") + position)
-        .drop("_id", "_first", "_in_file", "_in_batch")
+        seen.join(offsets, ["_file", "_block"], "left")
+        .withColumn("_position", position)
+        # An unmatched record has no offsets; 0 stands in so that the check above is still evaluated.
+        .withColumn("file_row_number", F.col("_position") + F.coalesce("_in_file", F.lit(0)))
+        .withColumn("_batch_row", F.col("_position") + F.coalesce("_in_batch", F.lit(0)))
+        .drop("_id", "_first", "_rows", "_in_file", "_in_batch", "_position")
     )
 
 
+def _pin_splits(spark: SparkSession) -> None:
+    """Keep file splits from following the number of live executors, which can change between passes."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def _null_words(c: str) -> Column:
     return F.when(F.col(c).isin(*NULL_WORDS), F.lit(None)).otherwise(F.col(c)).alias(c)
 

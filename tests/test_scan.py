@@ -93,3 +93,15 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
         assert numbered.agg(F.countDistinct("_batch_row"), F.max("_batch_row")).first()[:] == (8000, 8000)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_changed_splits_stop_the_job(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("n\n" + "\n".join(str(i) for i in range(5000)) + "\n")
+    numbered = scan.with_record_numbers(scan.read_files(spark, str(tmp_path), scan.CSV, ["n"]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        with pytest.raises(Exception, match="file blocks changed"):
+            numbered.select("file_row_number").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert numbered.agg(F.max("file_row_number")).first()[0] == 5000
