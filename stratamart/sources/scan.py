@@ -124,16 +124,22 @@ def _null_words(c: str) -> Column:
     return F.when(F.col(c).isin(*NULL_WORDS), F.lit(None)).otherwise(F.col(c)).alias(c)
 
 
-def _whole_value(text: Column) -> Column:
-    """The text as one JSON value. The parser alone would accept and drop text after the value, so it
-    is parsed as the only element of an array; duplicate object keys are refused."""
-    wrapped = variant_array(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$")
-    return F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
+def _with_document(records: DataFrame) -> DataFrame:
+    """``_doc``: the text as one JSON value, NULL when it is not. The parser alone would accept and drop
+    text after the value, so it is parsed as the only element of an array; duplicate object keys are refused.
+    Two steps, so that the text is parsed once.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    return (
+        records.withColumn("_wrapped", variant_array(wrapped, "$"))
+        .withColumn("_doc", F.when(F.size("_wrapped") == 1, F.get("_wrapped", F.lit(0))))
+        .drop("_wrapped")
+    )
 
 
 def shape_json(numbered: DataFrame, fmt: FileFormat) -> DataFrame:
     """Parse the text; with stripping, each element of an outer array becomes a record."""
-    parsed = numbered.where(F.trim("value") != "").withColumn("_doc", _whole_value(F.col("value")))
+    parsed = _with_document(numbered.where(F.trim("value") != ""))
     lineage = ["filename", "file_row_number", "_file", "_batch_row"]
     if not fmt.strip_outer_array:
         return parsed.select(
