@@ -40,6 +40,14 @@ def texts(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(docs: DataFrame, columns: list[str], schema: str,
              fn: Callable[[pa.RecordBatch], dict[str, object]]) -> DataFrame:
     """Run ``fn`` on Arrow batches of the named columns only, so other columns cannot clash.

@@ -148,11 +148,12 @@ class HashedText:
         for first, last in groups(offsets):
             rows = last - first
             for channel, (slot, lo, hi) in enumerate(self.segments(data, offsets[first:last + 1])):
-                row = np.repeat(np.arange(rows), hi - lo)
-                weight = table[channel][slot[lo[0]:lo[0] + len(row)]] if len(row) else np.zeros(0)
-                used = weight != 0
+                size = hi - lo
+                row = np.repeat(np.arange(rows), size)
+                own = slot[np.arange(len(row)) + np.repeat(lo - np.cumsum(size) + size, size)]
+                used = table[channel][own] != 0
                 if used.any():
-                    pair = np.unique(row[used] << self.bits | slot[lo[0]:lo[0] + len(row)][used])
+                    pair = np.unique(row[used] << self.bits | own[used])
                     out[first:last] += np.bincount(pair >> self.bits, table[channel][pair & ((1 << self.bits) - 1)],
                                                    minlength=rows)
         return out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .common import map_rows, text_bytes
+from .common import map_rows, text_bytes, unused
 
 BITS, SHINGLE, SEED = 2, 3, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
@@ -164,6 +164,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     named = docs.filter(F.col(id_col).isNotNull())
     grouped = near_duplicates(named, id_col, text_col)
-    kept = stage(grouped.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")), "simhash-kept")
-    rows = named.join(kept, named[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col])
+    first = unused(docs, "kept")
+    kept = stage(grouped.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(first)), "simhash-kept")
+    rows = named.join(kept, F.col(id_col) == F.col(first), "left_semi").dropDuplicates([id_col])
     return rows.unionByName(docs.filter(F.col(id_col).isNull()))
