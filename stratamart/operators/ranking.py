@@ -12,21 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import stage
 from .ordering import SortKey, asc, sorts_at_or_after
 
-# A written input at or below this many rows may use the plain window: the bound on one task's work.
-SMALL_ROWS = 100_000
-
-# Slices of a sorted input: at least a few, and about this many rows in each.
-MIN_SLICES, ROWS_PER_SLICE = 8, 250_000
-
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
-def _slice_count(df: DataFrame, rows: int) -> int:
-    """Slices for a known number of rows: the shuffle setting, fewer when slices would be tiny."""
-    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(setting, max(MIN_SLICES, -(-rows // ROWS_PER_SLICE)))
-
-
 def ordered_slices(df: DataFrame, keys: list[SortKey], slices: int | None = None) -> DataFrame:
     """``df`` written in range slices of the sort order, with ``_slice`` and 0-based ``_pos`` in it."""
     spark = df.sparkSession
@@ -84,24 +72,31 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: list[str], start: int
     return keyed.select(name, *df.columns)
 
 
-def global_rank(df: DataFrame, order: list[SortKey], out: str, within: tuple[str, ...] = (),
-                small_rows: int = SMALL_ROWS, staged: bool = False) -> DataFrame:
-    """RANK over the whole input, or inside each ``within`` group, whatever the group sizes.
+def global_ranks(df: DataFrame, order: list[SortKey], ranks: dict[str, tuple[str, ...]], staged: bool = False) -> DataFrame:
+    """RANK in the given order, for each new column inside the groups it names (none: over the whole input),
+    whatever the group sizes.
 
-    Where no group exceeds ``small_rows`` the plain window is used. Beyond that, rows are first reduced
-    to counts per distinct key, so a value shared by a third of the rows is one row of the running
-    count; the ranks are then joined back by value.
+    Rows are first reduced to counts per distinct key, so a value shared by a third of the rows is one
+    row of the running count; the ranks are then joined back by value.
     """
     rows = df if staged else stage(df, "rank")
-    largest = _largest_group(rows, within)
-    if largest <= small_rows:
-        window = Window.partitionBy(*within) if within else Window.partitionBy()
-        return rows.withColumn(out, F.rank().over(window.orderBy(*(k.column() for k in order))).cast("long"))
+    out = rows
+    for name, within in ranks.items():
+        out = _join_null_safe(out, _rank_values(rows, order, name, list(within)), [*within, *(k.name for k in order)])
+    return out
+
 
-    group, names = list(within), [k.name for k in order]
+def global_rank(df: DataFrame, order: list[SortKey], out: str, within: tuple[str, ...] = (), staged: bool = False) -> DataFrame:
+    return global_ranks(df, order, {out: within}, staged)
+
+
+def _rank_values(rows: DataFrame, order: list[SortKey], out: str, group: list[str]) -> DataFrame:
+    """A row per group and distinct key, with its rank."""
+    names = [k.name for k in order]
     counts = rows.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_n"))
-    sliced = ordered_slices(counts, [asc(g) for g in group] + order, _slice_count(rows, rows.count()))
+    sliced = ordered_slices(counts, [asc(g) for g in group] + order)
     in_slice = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per written slice, at most spark.sql.shuffle.partitions.
     before = (
         sliced.join(F.broadcast(slice_offsets(sliced, F.col("_n"))), "_slice")
         .withColumn("_before", F.col("_offset") + F.coalesce(F.sum("_n").over(in_slice), F.lit(0)))
@@ -112,15 +107,7 @@ def global_rank(df: DataFrame, order: list[SortKey], out: str, within: tuple[str
         before = _join_null_safe(before, starts, group)
     else:
         before = before.withColumn("_start", F.lit(0).cast("long"))
-    ranks = before.select(*group, *names, (F.col("_before") - F.col("_start") + 1).alias(out))
-    return _join_null_safe(rows, ranks, group + names)
-
-
-def _largest_group(rows: DataFrame, within: tuple[str, ...]) -> int:
-    """Rows one task of the plain window would get."""
-    if not within:
-        return rows.count()
-    return rows.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
+    return before.select(*group, *names, (F.col("_before") - F.col("_start") + 1).alias(out))
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -138,18 +125,13 @@ def ntile_starts(rows: int, k: int) -> list[int]:
     return [s for s in starts if s < rows]
 
 
-def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey], small_rows: int = SMALL_ROWS) -> list[tuple]:
+def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey]) -> list[tuple]:
     """Exact sort-key tuples of the first row of tiles 2..k. The keys must identify a row.
 
-    ``df`` is a written table. What reaches the driver: one count per slice and at most ``k - 1`` rows.
+    What reaches the driver: one count per slice and at most ``k - 1`` rows.
     """
     names = [key.name for key in keys]
-    rows = df.count()
-    if rows <= small_rows:
-        position = F.row_number().over(Window.orderBy(*(key.column() for key in keys))) - 1
-        cuts = df.select(*names, position.alias("_at")).where(F.col("_at").isin(ntile_starts(rows, k)))
-        return [tuple(r[n] for n in names) for r in sorted(cuts.collect(), key=lambda r: r["_at"])]
-    sliced = ordered_slices(df.select(*names), keys, _slice_count(df, rows))
+    sliced = ordered_slices(df.select(*names), keys)
     sizes = sorted((r["_slice"], r["count"]) for r in sliced.groupBy("_slice").count().collect())
     wanted = []
     offset = 0
@@ -174,13 +156,9 @@ def ntile_by_cuts(cuts: list[tuple], keys: list[SortKey]) -> Column:
     return tile.cast("long")
 
 
-def global_ntile(df: DataFrame, k: int, keys: list[SortKey], out: str,
-                 small_rows: int = SMALL_ROWS, staged: bool = False) -> DataFrame:
+def global_ntile(df: DataFrame, k: int, keys: list[SortKey], out: str, staged: bool = False) -> DataFrame:
     """NTILE(k) over the whole input; end the keys with a unique column so that ties are settled."""
     rows = df if staged else stage(df, "ntile")
-    if small_rows and rows.count() <= small_rows:
-        window = Window.orderBy(*(key.column() for key in keys))
-        return rows.withColumn(out, F.ntile(k).over(window).cast("long"))
     return rows.withColumn(out, ntile_by_cuts(ntile_cuts(rows, k, keys), keys))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.dates import as_date, date_key
 from ..functions.numeric import MONEY, PERCENT, average, percent_of, ratio, round_half_away
 from ..operators.ordering import asc, desc
-from ..operators.ranking import SMALL_ROWS, global_rank, ntile_by_cuts, ntile_cuts
+from ..operators.ranking import global_ranks, ntile_by_cuts, ntile_cuts
 from ..session import stage
 
 # Assumed profit share of the subtotal, score buckets, and merge column lists.
@@ -143,11 +143,11 @@ def rfm_keys() -> dict[str, list]:
     }
 
 
-def rfm_scores(customers: DataFrame, small_rows: int = SMALL_ROWS) -> dict[str, Column]:
+def rfm_scores(customers: DataFrame) -> dict[str, Column]:
     """Score columns for a written frame with customer_id, days_since_last_order, lifetime_orders and
     lifetime_value: each is a comparison with at most four cut rows."""
     return {
-        name: ntile_by_cuts(ntile_cuts(customers, SCORE_BUCKETS, keys, small_rows), keys)
+        name: ntile_by_cuts(ntile_cuts(customers, SCORE_BUCKETS, keys), keys)
         for name, keys in rfm_keys().items()
     }
 
@@ -163,7 +163,7 @@ def rfm_segment(recency: Column, frequency: Column, monetary: Column) -> Column:
     )
 
 
-def fact_customer_activity(sales: DataFrame, as_of: dt.date | str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def fact_customer_activity(sales: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Customer-day grain with lifetime, recency, frequency and RFM columns.
 
     Orders are first summed per customer and day, so a customer's window holds at most one row per
@@ -195,7 +195,7 @@ def fact_customer_activity(sales: DataFrame, as_of: dt.date | str, small_rows: i
         (day == F.max(day).over(everything)).alias("_latest"),
     )
     history = stage(history, "activity")
-    scores = rfm_scores(history.where("_latest"), small_rows)
+    scores = rfm_scores(history.where("_latest"))
     scored = history.select("*", *(c.alias(f"_{n}") for n, c in scores.items()))
     orders_to_date = F.col("lifetime_orders_to_date")
     return scored.select(
@@ -213,7 +213,7 @@ def fact_customer_activity(sales: DataFrame, as_of: dt.date | str, small_rows: i
     )
 
 
-def fact_product_performance(sales_items: DataFrame, products: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def fact_product_performance(sales_items: DataFrame, products: DataFrame) -> DataFrame:
     """Product-day grain with month- and year-to-date sums and revenue ranks.
 
     Running windows are per product (at most one row per calendar day). The ranks per day and per day
@@ -250,9 +250,6 @@ def fact_product_performance(sales_items: DataFrame, products: DataFrame, small_
         F.sum(net).over(per_month).alias("mtd_revenue"),
     ).join(category, "product_id", "left")
     order = [desc("net_revenue")]
-    ranked = global_rank(running, order, "daily_revenue_rank", ("performance_date",), small_rows)
-    if small_rows == 0:
-        ranked = stage(ranked, "daily-rank")
-    ranked = global_rank(ranked, order, "category_revenue_rank", ("performance_date", "category"), small_rows,
-                         staged=True)
+    ranked = global_ranks(running, order, {
+        "daily_revenue_rank": ("performance_date",), "category_revenue_rank": ("performance_date", "category")})
     return ranked.select(date_key(day).alias("date_sk"), *(c for c in ranked.columns if c != "category"))

@@ -17,15 +17,12 @@ from ..functions.numeric import MONEY, PERCENT
 from ..plans import dims, silver
 
 AS_OF = dt.date(2002, 1, 1)
-CALENDAR = ("1995-01-01", "2001-12-31")
-
-#: A document holds at most about this many items; an order with more lines is sent in parcels.
-LINES_PER_DOCUMENT = 256
 
 # Fixed values of the test inputs.
-STATES = "CA,OR,WA,NV,AZ,TX,OK,NM,AR,LA,NY,NJ,PA,MA,CT,IL,FL,GA,CO,OH,MI,MN,WI,IA,UT"
-COUNTRIES = "United States, canada,United Kingdom,australia ,Germany"
-SHIP_MODES = "Express,Standard,Overnight"
+STATES = ("CA", "OR", "WA", "NV", "AZ", "TX", "OK", "NM", "AR", "LA", "NY", "NJ", "PA", "MA", "CT", "IL", "FL", "GA",
+          "CO", "OH", "MI", "MN", "WI", "IA", "UT")
+COUNTRIES = ("United States", " canada", "United Kingdom", "australia ", "Germany")
+SHIP_MODES = ("Express", "Standard", "Overnight")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,8 +37,16 @@ def _money(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)")
 
 
-def _part_of(text: str, index: Column) -> Column:
-    return F.split_part(F.lit(text), F.lit(","), index.cast("int"))
+def _one_of(values: tuple[str, ...], index: Column) -> Column:
+    """The value at a 0-based index; an empty text beyond the last."""
+    return F.coalesce(F.get(F.array(*[F.lit(v) for v in values]), index.cast("int")), F.lit(""))
+
+
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Whole years that hold every order date."""
+    days = table(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    first, last = (d or AS_OF for d in days)
+    return f"{first.year:04d}-01-01", f"{last.year:04d}-12-31"
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +55,8 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey",
         "r_name",
-        _part_of(STATES, F.col("n_nationkey") + 1).alias("state"),
-        _part_of(COUNTRIES, F.col("n_regionkey") + 1).alias("country"),
+        _one_of(STATES, F.col("n_nationkey")).alias("state"),
+        _one_of(COUNTRIES, F.col("n_regionkey")).alias("country"),
     )
 
 
@@ -160,53 +165,28 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- orders ------------------------------------------------------------------------------------
 
 
-def heavy_orders(lines: DataFrame, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """Orders with more lines than one document should hold, with the number of parcels to send."""
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > limit).select(
-        F.col("l_orderkey").alias("_heavy"), F.ceil(F.col("_n") / F.lit(float(limit))).alias("_parcels")
-    )
+# Each supplier ships and bills its part of an order: a document holds the lines of one order and supplier, so an
+# order that holds a third of all lines is as many documents as it has suppliers, with no count taken first.
+SHIPMENT = ["l_orderkey", "l_suppkey"]
 
 
-def parcelled_lines(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> tuple[DataFrame, bool]:
-    """Order lines with the parcel they are sent in, and whether any order is split.
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem")
 
-    The parcel is 0, or a hash of the line for a heavy order: it bounds the size of one document, so an
-    order holding a third of all lines is many documents. Heavy orders are found by a count over one
-    column; when there are none nothing is joined. After the join the lines are spread by order and
-    parcel, so the heavy order does not stay in one task.
-    """
-    lines = table(spark, sf_dir, "lineitem")
-    heavy = heavy_orders(lines, limit)
-    if heavy.isEmpty():
-        return lines.withColumn("parcel", F.lit(0).cast("long")), False
-    # A 32-bit hash of the line's own values; the parcels of one order are about equally large.
-    fields = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
-    digest = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in fields),
-                               _money("l_extendedprice").cast("string")))
-    spread = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long")
-    split = lines.join(heavy, F.col("l_orderkey") == F.col("_heavy"), "left").select(
-        *lines.columns,
-        F.coalesce(F.pmod(spread, F.col("_parcels")), F.lit(0)).cast("long").alias("parcel"),
-    )
-    return split.repartition("l_orderkey", "parcel"), True
 
+def _with_headers(headers: DataFrame, documents: DataFrame) -> DataFrame:
+    """Shipments with their order, and orders without lines.
 
-def _with_headers(headers: DataFrame, documents: DataFrame, split: bool) -> DataFrame:
-    """Orders with their parcels, and orders without lines.
-
-    With split orders one key has many parcels; an inner join can divide such a key over tasks where an
-    outer join cannot, so the orders without lines are added by an anti join.
+    One order can have many shipments; an inner join can divide such a key over tasks where an outer join from
+    the orders cannot, so the orders without lines are added by an anti join.
     """
     same = F.col("o_orderkey") == F.col("l_orderkey")
-    if not split:
-        return headers.join(documents, same, "left")
     empty = headers.join(documents.select("l_orderkey").distinct(), same, "left_anti")
-    return headers.join(documents, same).unionByName(empty, allowMissingColumns=True)
+    return documents.join(headers, same).unionByName(empty, allowMissingColumns=True)
 
 
-def order_id(key: Column, parcel: Column) -> Column:
-    suffix = F.when(parcel > 0, F.concat(F.lit("-P"), parcel.cast("string"))).otherwise(F.lit(""))
+def order_id(key: Column, supplier: Column) -> Column:
+    suffix = F.coalesce(F.concat(F.lit("-"), supplier.cast("string")), F.lit(""))
     return F.concat(F.lit("ORD-"), key.cast("string"), suffix)
 
 
@@ -248,33 +228,20 @@ def _order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _document_keys(split: bool) -> list[str]:
-    """Without split orders the order key alone groups the lines, so that the join on it needs no
-    second shuffle."""
-    return ["l_orderkey", "parcel"] if split else ["l_orderkey"]
-
-
-def _document_totals(lines: DataFrame, split: bool, products: bool) -> DataFrame:
-    """Per document: lines, quantity, amounts and, on request, distinct products.
-
-    Plain sums combine before the shuffle. Distinct products need every line anyway: the lines are
-    spread once by document and both aggregations and the join use that partitioning.
-    """
-    if products and not split:
-        lines = lines.repartition("l_orderkey")
+def _document_totals(lines: DataFrame, products: bool) -> DataFrame:
+    """Per shipment: lines, quantity, amounts and, on request, distinct products."""
     unique = [F.countDistinct("l_partkey").alias("unique_products")] if products else []
-    totals = lines.groupBy(*_document_keys(split)).agg(
+    return lines.groupBy(*SHIPMENT).agg(
         F.count(F.lit(1)).alias("total_items"),
         F.sum(F.round("l_quantity").cast("long")).alias("total_quantity"),
         *unique,
         F.min("l_shipdate").cast("date").alias("ship_date"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
     )
-    return totals if split else totals.withColumn("parcel", F.lit(0).cast("long"))
 
 
 def _ship_mode() -> Column:
-    return _part_of(SHIP_MODES, F.col("o_orderkey") % 3 + 1)
+    return _one_of(SHIP_MODES, F.col("o_orderkey") % 3)
 
 
 def _shipping_cost() -> Column:
@@ -285,12 +252,11 @@ def _total_amount(subtotal: Column, discount: Column, tax: Column) -> Column:
     return (subtotal - discount + tax + _shipping_cost()).cast(MONEY)
 
 
-def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """One nested ``document`` per order or parcel, with its extracted keys.
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested ``document`` per shipment, with its extracted keys.
 
     Orders without lines carry an empty or no item list and zero totals.
     """
-    lines, split = parcelled_lines(spark, sf_dir, limit)
     item = F.struct(
         *LINE_ORDER,
         _id("PROD-", "l_partkey").alias("product_id"),
@@ -298,15 +264,13 @@ def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOC
         _unit_price().alias("unit_price"),
         _line_percent().alias("discount_percent"),
     )
-    documents = lines.groupBy(*_document_keys(split)).agg(
+    documents = order_lines(spark, sf_dir).groupBy(*SHIPMENT).agg(
         F.sort_array(F.collect_list(item)).alias("_items"),
         F.min("l_shipdate").cast("date").alias("_shipped"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
     )
-    if not split:
-        documents = documents.withColumn("parcel", F.lit(0).cast("long"))
-    joined = _with_headers(_order_headers(spark, sf_dir), documents, split)
-    parcel = F.coalesce("parcel", F.lit(0))
+    joined = _with_headers(_order_headers(spark, sf_dir), documents)
+    supplier = F.col("l_suppkey")
     key = F.col("o_orderkey")
     items = F.transform(
         F.col("_items"),
@@ -322,7 +286,7 @@ def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOC
     amounts = {n: F.coalesce(f"_{n}", zero) for n in ("subtotal", "discount", "tax")}
     date_text = F.col("o_orderdate").cast("date").cast("string")
     document = F.struct(
-        order_id(key, parcel).alias("order_id"),
+        order_id(key, supplier).alias("order_id"),
         _id("CUST-", "o_custkey").alias("customer_id"),
         date_text.alias("order_date"),
         F.concat(date_text, F.lit("T10:30:00")).alias("order_timestamp"),
@@ -346,20 +310,20 @@ def order_documents(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOC
     )
     return joined.select(
         document.alias("document"),
-        order_id(key, parcel).alias("order_id"),
+        order_id(key, supplier).alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
     )
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents as variants."""
-    return order_documents(spark, sf_dir, limit).select(
+    return order_documents(spark, sf_dir).select(
         F.to_variant_object("document").alias("raw_data"), "order_id", "order_date")
 
 
-def _typed_orders(headers: DataFrame, totals: DataFrame, split: bool) -> DataFrame:
+def _typed_orders(headers: DataFrame, totals: DataFrame) -> DataFrame:
     """Order columns that need no shipping place, and the customer key the stored fact would hold."""
-    joined = _with_headers(headers, totals, split)
+    joined = _with_headers(headers, totals)
     key, date = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     zero = F.lit(Decimal("0.0000"))
     amounts = {n: F.coalesce(f"_{n}", zero) for n in ("subtotal", "discount", "tax")}
@@ -368,7 +332,7 @@ def _typed_orders(headers: DataFrame, totals: DataFrame, split: bool) -> DataFra
     place = [c for c in ("o_custkey", "state", "country") if "state" in headers.columns]
     return joined.select(
         *place,
-        order_id(key, F.coalesce("parcel", F.lit(0))).alias("order_id"),
+        order_id(key, F.col("l_suppkey")).alias("order_id"),
         _id("CUST-", "o_custkey").alias("customer_id"),
         (F.col("o_custkey") * 2).alias("customer_sk"),
         date.alias("order_date"),
@@ -390,12 +354,11 @@ def _typed_orders(headers: DataFrame, totals: DataFrame, split: bool) -> DataFra
     )
 
 
-def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
+def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver order headers straight from the tables."""
-    lines, split = parcelled_lines(spark, sf_dir, limit)
-    totals = _document_totals(lines, split, products=True)
+    totals = _document_totals(order_lines(spark, sf_dir), products=True)
     date = F.col("order_date")
-    return _typed_orders(_order_headers(spark, sf_dir), totals, split).select(
+    return _typed_orders(_order_headers(spark, sf_dir), totals).select(
         "order_id", "customer_id", date, "order_timestamp", "order_status", "order_priority", "ship_date", "ship_mode",
         F.concat(F.col("o_custkey").cast("string"), F.lit(" Main Street")).alias("shipping_address"),
         F.concat(F.lit("City "), (F.col("o_custkey") % 40).cast("string")).alias("shipping_city"),
@@ -417,16 +380,15 @@ def silver_orders(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUM
 def order_measures(spark: SparkSession, sf_dir: str, products: bool = False) -> DataFrame:
     """The same orders without shipping place (no customer join) and, unless asked, without the
     distinct-product count: what the daily snapshot and the sales views read of the stored tables."""
-    lines, split = parcelled_lines(spark, sf_dir)
-    totals = _document_totals(lines, split, products)
-    return _typed_orders(table(spark, sf_dir, "orders"), totals, split)
+    totals = _document_totals(order_lines(spark, sf_dir), products)
+    return _typed_orders(table(spark, sf_dir, "orders"), totals)
 
 
 def _order_items(lines: DataFrame) -> DataFrame:
-    position = Window.partitionBy("l_orderkey", "parcel").orderBy(*LINE_ORDER)
+    position = Window.partitionBy(*SHIPMENT).orderBy(*LINE_ORDER)
     typed = lines.select(
         "l_orderkey",
-        order_id(F.col("l_orderkey"), F.col("parcel")).alias("order_id"),
+        order_id(F.col("l_orderkey"), F.col("l_suppkey")).alias("order_id"),
         _id("PROD-", "l_partkey").alias("product_id"),
         F.row_number().over(position).cast("long").alias("line_number"),
         F.col("l_quantity").cast("decimal(18,2)").cast("decimal(38,0)").alias("quantity"),
@@ -437,27 +399,21 @@ def _order_items(lines: DataFrame) -> DataFrame:
         silver.line_amounts(F.col("quantity"), F.col("unit_price"), F.col("discount_percent")))
 
 
-def silver_order_items(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """The silver items straight from the lines; a document's window holds a bounded number of lines."""
-    lines, _ = parcelled_lines(spark, sf_dir, limit)
-    return _order_items(lines).drop("l_orderkey")
+def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver items straight from the lines; a window holds the lines of one shipment."""
+    return _order_items(order_lines(spark, sf_dir)).drop("l_orderkey")
 
 
-def items_and_headers(spark: SparkSession, sf_dir: str, limit: int = LINES_PER_DOCUMENT) -> tuple[DataFrame, DataFrame]:
+def items_and_headers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Silver items, and the order fact's columns that the line fact needs."""
-    lines, split = parcelled_lines(spark, sf_dir, limit)
-    items = _order_items(lines)
-    orders = table(spark, sf_dir, "orders")
-    if split:
-        ids = items.select("l_orderkey", "order_id").distinct()
-        orders = orders.join(ids, F.col("o_orderkey") == F.col("l_orderkey"))
-    else:
-        orders = orders.withColumn("order_id", order_id(F.col("o_orderkey"), F.lit(0)))
+    lines = order_lines(spark, sf_dir)
+    shipments = lines.select(*SHIPMENT).distinct()
+    orders = shipments.join(table(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
     date = F.col("o_orderdate").cast("date")
     headers = orders.select(
-        "order_id", date_key(date).alias("date_sk"), (F.col("o_custkey") * 2).alias("customer_sk"),
-        date.alias("order_date"), _id("CUST-", "o_custkey").alias("customer_id"))
-    return items.drop("l_orderkey"), headers
+        order_id(F.col("l_orderkey"), F.col("l_suppkey")).alias("order_id"), date_key(date).alias("date_sk"),
+        (F.col("o_custkey") * 2).alias("customer_sk"), date.alias("order_date"), _id("CUST-", "o_custkey").alias("customer_id"))
+    return _order_items(lines).drop("l_orderkey"), headers
 
 
 # --- events and run log ------------------------------------------------------------------------

@@ -7,8 +7,17 @@ from __future__ import annotations
 
 import re
 
-from ..functions.text import COUNTRY_CODES
-from .inputs import CALENDAR, COUNTRIES, LINES_PER_DOCUMENT, SHIP_MODES, STATES
+# Fixed values, written down again here so that a slip in the code under test shows.
+STATES = "CA,OR,WA,NV,AZ,TX,OK,NM,AR,LA,NY,NJ,PA,MA,CT,IL,FL,GA,CO,OH,MI,MN,WI,IA,UT"
+COUNTRIES = "United States, canada,United Kingdom,australia ,Germany"
+SHIP_MODES = "Express,Standard,Overnight"
+COUNTRY_CODES = {
+    "UNITED STATES": "US",
+    "USA": "US",
+    "CANADA": "CA",
+    "UNITED KINGDOM": "UK",
+    "AUSTRALIA": "AU",
+}
 
 AS_OF = "DATE '2002-01-01'"
 MONEY = "DECIMAL(18,4)"
@@ -119,23 +128,15 @@ SELECT k AS product_sk, product_id, product_id AS product_bk, product_name, cate
             WHEN unit_price < 500 THEN 'Premium' ELSE 'Luxury' END AS price_band,
        weight_kg, supplier_id, is_active, TRUE AS is_current
 FROM silver_products""",
-    "counted_lines": """
-SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n_lines FROM lineitem""",
-    "lines": f"""
-SELECT *, CASE WHEN n_lines > {LINES_PER_DOCUMENT} THEN
-         ('0x' || left(md5(concat_ws('|', l_partkey, l_suppkey, l_linenumber, l_shipdate::VARCHAR,
-                                     l_extendedprice::DECIMAL(18,2)::VARCHAR)), 8))::BIGINT
-         % ceil(n_lines / {LINES_PER_DOCUMENT}.0)::BIGINT ELSE 0 END AS parcel
-FROM counted_lines""",
     "documents_totals": f"""
-SELECT l_orderkey, parcel, count(*) AS total_items, sum(l_quantity::DECIMAL(18,0)) AS total_quantity,
+SELECT l_orderkey, l_suppkey, count(*) AS total_items, sum(l_quantity::DECIMAL(18,0)) AS total_quantity,
        count(DISTINCT l_partkey) AS unique_products, min(l_shipdate)::DATE AS ship_date,
        sum(l_extendedprice::DECIMAL(18,2))::{MONEY} AS subtotal,
        sum((l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))::{MONEY})::{MONEY} AS discount,
        sum((l_extendedprice::DECIMAL(18,2) * l_tax::DECIMAL(4,2))::{MONEY})::{MONEY} AS tax
-FROM lines GROUP BY l_orderkey, parcel""",
+FROM lineitem GROUP BY l_orderkey, l_suppkey""",
     "headers": f"""
-SELECT 'ORD-' || o_orderkey || CASE WHEN coalesce(parcel, 0) > 0 THEN '-P' || parcel ELSE '' END AS order_id,
+SELECT 'ORD-' || o_orderkey || coalesce('-' || l_suppkey, '') AS order_id,
        o_orderkey, 'CUST-' || o_custkey AS customer_id, o_custkey, o_orderdate::DATE AS order_date,
        upper(o_orderstatus) AS order_status, upper(o_orderpriority) AS order_priority, ship_date,
        split_part('{SHIP_MODES}', ',', (o_orderkey % 3 + 1)::INTEGER) AS ship_mode, state, trim(country) AS country,
@@ -155,13 +156,13 @@ SELECT *, (subtotal - discount_amount + tax_amount + shipping_cost)::{MONEY} AS
        country AS shipping_country
 FROM headers""",
     "silver_items": f"""
-SELECT 'ORD-' || l_orderkey || CASE WHEN parcel > 0 THEN '-P' || parcel ELSE '' END AS order_id, l_orderkey,
+SELECT 'ORD-' || l_orderkey || '-' || l_suppkey AS order_id, l_orderkey,
        'PROD-' || l_partkey AS product_id, l_partkey,
-       row_number() OVER (PARTITION BY l_orderkey, parcel
+       row_number() OVER (PARTITION BY l_orderkey, l_suppkey
                           ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount) AS line_number,
        l_quantity::DECIMAL(14,0) AS quantity, (l_extendedprice::DECIMAL(18,2) * 0.01)::{MONEY} AS unit_price,
        (l_discount::DECIMAL(8,2) * 100)::DECIMAL(8,4) AS discount_percent
-FROM lines""",
+FROM lineitem""",
     "item_amounts": f"""
 SELECT *, (quantity * unit_price)::{MONEY} AS line_total,
        round((quantity * unit_price)::{MONEY} * (discount_percent * 0.01)::DECIMAL(10,6), 4)::{MONEY} AS line_discount,
@@ -184,8 +185,10 @@ FROM item_amounts i LEFT JOIN orders ON i.l_orderkey = o_orderkey
 LEFT JOIN dim_product p ON i.l_partkey = p.product_sk""",
     "daily": "{daily_of:silver_orders}",
     "calendar": "{calendar_of:spine}",
-    "spine": f"""
-SELECT unnest(generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY))::DATE AS full_date""",
+    "spine": """
+SELECT unnest(generate_series(date_trunc('year', min(o_orderdate))::DATE,
+       (date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY)::DATE, INTERVAL 1 DAY))::DATE AS full_date
+FROM orders""",
     "events_text": """
 SELECT 'EVT-' || event_id AS event_id, event_type, ts, user_id, value::DECIMAL(18,2) AS event_value,
        json_extract(props, '$.k')::BIGINT AS k FROM events""",

@@ -24,7 +24,7 @@ from ..session import scratch_path, stage
 from ..sources import load, scan
 from ..streaming import incremental
 from . import inputs, landing
-from .inputs import AS_OF, CALENDAR
+from .inputs import AS_OF
 
 # The market regions delivered first; the second delivery re-sends one region and adds another.
 FIRST_BATCH = "r_name <> 'ASIA'"
@@ -441,15 +441,14 @@ def global_rank(spark, sf_dir):
     orders = inputs.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("order_date"))
     order = [desc("order_date")]
-    overall = ranking.global_rank(orders, order, "overall_rank", small_rows=0)
-    return ranking.global_rank(overall, order, "priority_rank", ("o_orderpriority",), small_rows=0)
+    return ranking.global_ranks(orders, order, {"overall_rank": (), "priority_rank": ("o_orderpriority",)})
 
 
 @query
 def global_ntile(spark, sf_dir):
     orders = inputs.table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
-    return ranking.global_ntile(orders, 5, [desc("order_date"), asc("o_orderkey")], "tile", small_rows=0)
+    return ranking.global_ntile(orders, 5, [desc("order_date"), asc("o_orderkey")], "tile")
 
 
 @query
@@ -548,7 +547,7 @@ def date_spine(spark, sf_dir):
 
 
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_date(spark, *CALENDAR)
+    return dims.dim_date(spark, *inputs.calendar_bounds(spark, sf_dir))
 
 
 @query
@@ -699,9 +698,10 @@ def land_all(spark: SparkSession, sf_dir: str) -> str:
 
 def run_all(spark: SparkSession, sf_dir: str) -> full_run.Warehouse:
     house = full_run.Warehouse(scratch_path(spark, "warehouse"), buckets=8)
-    full_run.run_layers(spark, land_all(spark, sf_dir), house.root, AS_OF, dt.date.fromisoformat(CALENDAR[0]),
-                        dt.date.fromisoformat(CALENDAR[1]), house.buckets, order_format=scan.JSON_LINES)
-    full_run.populate_dim_date(spark, house, *CALENDAR)
+    first, last = inputs.calendar_bounds(spark, sf_dir)
+    full_run.run_layers(spark, land_all(spark, sf_dir), house.root, AS_OF, dt.date.fromisoformat(first),
+                        dt.date.fromisoformat(last), house.buckets, order_format=scan.JSON_LINES)
+    full_run.populate_dim_date(spark, house, first, last)
     return house
 
 

@@ -149,8 +149,9 @@ def skewed(spark):
 def test_rank_equals_plain_window(skewed, rows, key, within):
     window = Window.partitionBy(*within).orderBy(key.column())
     expected = skewed.withColumn("r", F.rank().over(window).cast("long"))
-    for small in (0, 10_000):
-        assert rows(ranking.global_rank(skewed, [key], "r", within, small)) == rows(expected)
+    assert rows(ranking.global_rank(skewed, [key], "r", within)) == rows(expected)
+    both = ranking.global_ranks(skewed, [key], {"r": within, "whole": ()})
+    assert rows(both.drop("whole")) == rows(expected)
 
 
 @pytest.mark.parametrize("keys", [[asc("v"), asc("id")], [desc("v"), asc("id")]])
@@ -158,20 +159,13 @@ def test_rank_equals_plain_window(skewed, rows, key, within):
 def test_ntile_equals_plain_window(skewed, rows, keys, k):
     window = Window.orderBy(*(x.column() for x in keys))
     expected = skewed.withColumn("t", F.ntile(k).over(window).cast("long"))
-    for small in (0, 10_000):
-        assert rows(ranking.global_ntile(skewed, k, keys, "t", small)) == rows(expected)
+    assert rows(ranking.global_ntile(skewed, k, keys, "t")) == rows(expected)
 
 
 def test_ntile_with_more_tiles_than_rows(spark, rows):
     few = frame(spark, [(1,), (2,), (3,)], "id int")
-    assert rows(ranking.global_ntile(few, 5, [asc("id")], "t", 0)) == [(1, 1), (2, 2), (3, 3)]
-    assert ranking.global_ntile(few.where("id > 9"), 5, [asc("id")], "t", 0).count() == 0
-
-
-@pytest.mark.parametrize("small", [0, 10_000])
-def test_ntile_cuts_agree(skewed, small):
-    keys = [desc("v"), asc("id")]
-    assert ranking.ntile_cuts(skewed, 5, keys, small) == ranking.ntile_cuts(skewed, 5, keys, 10_000)
+    assert rows(ranking.global_ntile(few, 5, [asc("id")], "t")) == [(1, 1), (2, 2), (3, 3)]
+    assert ranking.global_ntile(few.where("id > 9"), 5, [asc("id")], "t").count() == 0
 
 
 def test_surrogate_keys_are_dense_in_key_order(spark, rows):
