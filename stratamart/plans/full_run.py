@@ -15,7 +15,7 @@ from ..sources.load import (
     RAW_CUSTOMERS, RAW_EVENTS, RAW_ORDERS, RAW_PRODUCTS, RawTable, load_all_raw, load_raw,
 )
 from ..sources.scan import FileFormat
-from ..streaming.incremental import append_only, drain, read_growing
+from ..streaming.incremental import drain, read_growing
 from . import dims, facts, silver
 
 
@@ -122,14 +122,18 @@ def transform_all(spark: SparkSession, house: Warehouse, as_of: dt.date) -> dict
     }
 
 
-def transform_events(spark: SparkSession, house: Warehouse) -> None:
-    """Append-only stream of events into silver."""
-    path = f"{house.bronze}/{RAW_EVENTS.name}"
-    stream = read_growing(spark, path, spark.read.parquet(path).schema)
-    append_only(
-        stream.where(F.col("rejected") == 0), house.table("silver", "events"), f"{house.root}/checkpoints/silver_events",
-        silver.silver_events,
-    ).awaitTermination()
+def merge_events(house: Warehouse, raw: DataFrame, as_of: dt.date, now: dt.datetime) -> MergeCounts:
+    """Insert-only: an event sent again, also in a later batch or under another file name, is not added."""
+    return merge_into_path(
+        house.table("silver", "events"), silver.silver_events(raw), ["event_id"], [],
+        on_insert={"silver_load_ts": _stamp(now)}, surrogate="event_sk", buckets=house.buckets,
+        cluster_by=["event_date", "event_type"],
+    )
+
+
+def transform_events(spark: SparkSession, house: Warehouse) -> int:
+    """Unread events into silver; the number of batches that ran."""
+    return consume(spark, house, RAW_EVENTS, "silver_events", merge_events, _clock().date())
 
 
 def load_events(spark: SparkSession, house: Warehouse, landing: str):
@@ -244,11 +248,11 @@ def _logged(spark: SparkSession, house: Warehouse, layer: str, name: str, step:
         value = step()
         return value
     except Exception as failure:
-        state, error = "FAILED", str(failure)[:5000]
+        state, error = "FAILED", str(failure)
         raise
     finally:
         row = (name, house.root.rstrip("/").rsplit("/", 1)[-1], layer, state, begun, begun, _clock(),
-               None, error, None if value is None else str(value)[:5000])
+               None, error, None if value is None else str(value))
         spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(f"{house.root}/run_log")
 
 

@@ -242,7 +242,8 @@ def _order_id(items: DataFrame) -> Column:
 def silver_events(raw: DataFrame) -> DataFrame:
     """Typed events. Business hours are Monday to Friday, 09:00 to 16:59.
 
-    When the raw frame has lineage, an event sent twice in the batch counts once (the latest).
+    When the raw frame has lineage, an event sent twice in the batch counts once (the latest). Events without
+    an id stay rows of their own; the stored merge sets them aside.
     """
     typed = raw.select(
         "*",
@@ -275,5 +276,6 @@ def silver_events(raw: DataFrame) -> DataFrame:
         *_audit(raw, ("record_id", "load_timestamp")),
     )
     if "source_record_id" in events.columns:
-        events = latest_by_key(events, ["event_id"], ["source_record_id"])
+        unknown = F.when(F.col("event_id").isNull(), F.col("source_record_id"))
+        events = latest_by_key(events.withColumn("_own", unknown), ["event_id", "_own"], ["source_record_id"]).drop("_own")
     return events

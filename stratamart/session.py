@@ -54,10 +54,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its store. Spark has no public call to ask for or delete one; all such use is here."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, store = _folder(spark, path)
+    return store.exists(folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's staged tables, once no frame still to be run depends on them."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove_path(spark, _app_dir(spark))
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -41,9 +41,15 @@ def incremental(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int
 
 def drain(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None]) -> int:
     """Process everything unread now; the number of batches that ran."""
-    query = incremental(stream, checkpoint, fn)
-    query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    ran = 0
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        nonlocal ran
+        fn(batch, batch_id)
+        ran += 1
+
+    incremental(stream, checkpoint, counted).awaitTermination()
+    return ran
 
 
 def append_only(stream: DataFrame, target: str, checkpoint: str,

@@ -244,8 +244,22 @@ def silver_order_items(spark, sf_dir):
 
 @query
 def silver_events(spark, sf_dir):
-    events = silver.silver_events(inputs.raw_events(spark, sf_dir))
-    return events.withColumn("properties", F.variant_get("properties", "$.k", "long"))
+    """The stored events. Some are sent twice in the delivery, some have no id, and the whole delivery comes again."""
+    number = F.regexp_extract("document.event_id", "([0-9]+)$", 1).cast("long")
+    events = inputs.event_documents(spark, sf_dir).select("document", F.col("document.event_id").alias("sent_as"), number.alias("k"))
+    unnamed = events.where("k % 100 = 1").withColumn(
+        "document", F.col("document").withField("event_id", F.lit(None).cast("string")))
+    house = full_run.Warehouse(scratch_path(spark, "events"))
+
+    def delivery(frame: DataFrame, batch: int) -> DataFrame:
+        raw = frame.select(F.to_variant_object("document").alias("raw_data"), "sent_as")
+        return _lineage(raw, "sent_as", batch).drop("sent_as")
+
+    first = delivery(events, 1).unionByName(delivery(events.where("k % 50 = 0"), 2)).unionByName(delivery(unnamed, 3))
+    for raw in (first, delivery(events, 4)):
+        full_run.merge_events(house, raw, AS_OF, NOW)
+    stored = house.read(spark, "silver", "events")
+    return stored.drop("event_sk", *_CLOCKS, "source_record_id").withColumn("properties", F.variant_get("properties", "$.k", "long"))
 
 
 @query
@@ -310,6 +324,15 @@ NOW = dt.datetime(2002, 1, 2)
 _CLOCKS = ["silver_load_ts", "silver_update_ts", "bronze_load_ts"]
 
 
+def _merged(spark: SparkSession, name: str, deliveries: tuple[DataFrame, ...], keys: list[str], update: list[str],
+            **options) -> DataFrame:
+    """The stored table after the deliveries were merged one after the other."""
+    path = scratch_path(spark, name)
+    for delivery in deliveries:
+        merge_into_path(path, delivery, keys, update, **options)
+    return read_bucketed(spark, path)
+
+
 @query
 def merge_upsert_query(spark, sf_dir):
     """The plain operator on a plain table: balances of re-sent customers are replaced."""
@@ -361,7 +384,7 @@ def _order_batches(spark: SparkSession, sf_dir: str, orders: DataFrame | None =
 @query
 def merge_orders(spark, sf_dir):
     first, second = _order_batches(spark, sf_dir, inputs.order_measures(spark, sf_dir))
-    merged = merge_upsert(first, second, ["order_id"], silver.ORDER_UPDATE_COLUMNS)
+    merged = _merged(spark, "orders", (first, second), ["order_id"], silver.ORDER_UPDATE_COLUMNS)
     return merged.select("order_id", "customer_id", "order_date", "order_status", "ship_date", "ship_mode",
                          "subtotal", "total_amount", "total_items")
 
@@ -373,10 +396,8 @@ def merge_dim_customer(spark, sf_dir):
     first = dim.where(FIRST_BATCH).drop("r_name")
     second = dim.where(SECOND_BATCH).drop("r_name").withColumns({
         "customer_tier": F.lit("TIER_9"), "registration_date": F.lit(AS_OF)})
-    path = scratch_path(spark, "dim")
-    for source in (first, second):
-        merge_into_path(path, source, ["customer_id"], dims.CUSTOMER_UPDATE_COLUMNS)
-    return read_bucketed(spark, path).select(
+    merged = _merged(spark, "dim", (first, second), ["customer_id"], dims.CUSTOMER_UPDATE_COLUMNS)
+    return merged.select(
         "customer_sk", "customer_id", "full_name", "region", "customer_tier", "registration_date", "tenure_band",
         "is_current")
 
@@ -387,7 +408,7 @@ def merge_dim_product(spark, sf_dir):
     first = dim.where("category <> 'LARGE'")
     second = dim.where("category in ('PROMO', 'LARGE')").withColumns({
         "price_band": F.lit("Resent"), "product_bk": F.lit("changed")})
-    merged = merge_upsert(first, second, ["product_id"], dims.PRODUCT_UPDATE_COLUMNS)
+    merged = _merged(spark, "dim", (first, second), ["product_id"], dims.PRODUCT_UPDATE_COLUMNS)
     return merged.select("product_sk", "product_id", "product_bk", "price_band", "unit_price", "is_current")
 
 
@@ -396,11 +417,9 @@ def merge_fact_sales(spark, sf_dir):
     stored = stage(inputs.silver_orders(spark, sf_dir), "silver-orders")
     first, second = (
         _fact_sales(spark, sf_dir, orders).drop("geography_sk") for orders in _order_batches(spark, sf_dir, stored))
-    path = scratch_path(spark, "fact")
-    for source in (first, second):
-        merge_into_path(path, source, ["order_id"], facts.SALES_UPDATE_COLUMNS, surrogate="sales_sk",
-                        cluster_by=["date_sk"])
-    return read_bucketed(spark, path).select(
+    merged = _merged(spark, "fact", (first, second), ["order_id"], facts.SALES_UPDATE_COLUMNS, surrogate="sales_sk",
+                     cluster_by=["date_sk"])
+    return merged.select(
         "order_id", "date_sk", "customer_sk", "order_status", "ship_mode", "total_amount", "profit_amount",
         "days_to_ship")
 
@@ -412,7 +431,7 @@ def merge_daily_sales(spark, sf_dir):
     first = facts.fact_daily_sales(orders, end=dt.date(1999, 12, 31)).withColumn("new_customers", F.lit(7).cast("long"))
     grown = orders.withColumn("total_amount", (F.col("total_amount") + 10).cast(MONEY))
     second = facts.fact_daily_sales(grown, start=ORDERS_FROM)
-    merged = merge_upsert(first, second, ["date_sk"], facts.DAILY_UPDATE_COLUMNS)
+    merged = _merged(spark, "daily", (first, second), ["date_sk"], facts.DAILY_UPDATE_COLUMNS, buckets=1)
     return merged.select("date_sk", "snapshot_date", "new_customers", "total_orders", "net_revenue", "avg_order_value")
 
 

@@ -148,6 +148,20 @@ def test_event_business_hours(spark, rows):
     assert json.loads(got.select(F.to_json("properties")).first()[0]) == {"k": 1}
 
 
+def test_events_without_id_are_set_aside_and_replays_add_nothing(spark, tmp_path, rows):
+    raw = raw_orders(spark, {"event_id": "E1", "event_type": "view", "event_timestamp": "2025-03-14T09:00:00"},
+                     {"event_type": "view"}, {"event_type": "click"}, {"event_id": "E1", "event_type": "again"})
+    raw = raw.withColumns({"record_id": F.monotonically_increasing_id(), "load_timestamp": F.lit(AS_OF).cast("timestamp_ntz")})
+    house = full_run.Warehouse(str(tmp_path / "house"), buckets=2)
+    first = full_run.merge_events(house, raw, AS_OF, dt.datetime(2025, 3, 15))
+    assert (first.inserted, first.unkeyed) == (1, 2)
+    again = full_run.merge_events(house, raw, AS_OF, dt.datetime(2025, 3, 16))
+    assert again.inserted == 0
+    stored = house.read(spark, "silver", "events")
+    assert rows(stored, "event_id", "silver_load_ts") == [("E1", dt.datetime(2025, 3, 15))]
+    assert "event_sk" in stored.columns
+
+
 # --- dimensions --------------------------------------------------------------------------------
 
 
@@ -159,8 +173,9 @@ def test_calendar(spark):
     last = days.where("full_date = '2024-12-30'").first()
     assert (last.date_sk, last.year_week, last.day_name, last.month_name) == (20241230, "2024-W01", "Mon", "Dec")
     assert (last.year_quarter, last.is_business_day, last.is_holiday) == ("2024-Q4", True, False)
-    with pytest.raises(ValueError):
-        dims.date_spine(spark, "0001-01-01", "9999-12-31")
+    long = (dt.date(3000, 12, 31) - dt.date(1600, 1, 1)).days + 1
+    assert dims.date_spine(spark, "1600-01-01", "3000-12-31").count() == long
+    assert dims.date_spine(spark, "2024-01-02", "2024-01-01").count() == 0
 
 
 def test_geography_is_joined_on_all_three_names(spark):
@@ -223,35 +238,31 @@ def test_sales_overview_counts_rows(spark, shop):
     assert [d.revenue_dod_growth_pct for d in days] == [-80.0, -16.67, 0.0]
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
-def test_customer_without_orders_scores(shop, small):
+def test_customer_without_orders_scores(shop):
     _, buyers, _, sales, _ = shop
-    top = {r.customer_id: r for r in views.v_top_customers(buyers, sales, AS_OF, small).collect()}
+    top = {r.customer_id: r for r in views.v_top_customers(buyers, sales, AS_OF).collect()}
     assert (top["C3"].lifetime_orders, top["C3"].lifetime_value) == (0, None)
     assert (top["C3"].recency_score, top["C3"].frequency_score, top["C3"].monetary_score) == (1, 1, 3)
     assert (top["C2"].recency_score, top["C1"].days_since_last_order) == (3, 16)
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
-def test_product_without_sales_ranks_first(shop, small):
+def test_product_without_sales_ranks_first(shop):
     _, _, products, _, lines = shop
-    got = {r.product_id: r for r in views.v_product_performance(products, lines, small).collect()}
+    got = {r.product_id: r for r in views.v_product_performance(products, lines).collect()}
     assert (got["P3"].category_revenue_rank, got["P3"].overall_revenue_rank, got["P3"].times_ordered) == (1, 1, 0)
     assert (got["P1"].times_ordered, float(got["P1"].total_profit)) == (2, 18.0)
     assert {got["P1"].overall_revenue_rank, got["P2"].overall_revenue_rank} == {2}
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
-def test_product_performance_ranks(shop, small):
+def test_product_performance_ranks(shop):
     _, _, products, _, lines = shop
-    got = {r.product_id: r for r in facts.fact_product_performance(lines, products, small).collect()}
+    got = {r.product_id: r for r in facts.fact_product_performance(lines, products).collect()}
     assert (float(got["P1"].net_revenue), got["P1"].times_ordered, got["P1"].daily_revenue_rank) == (30.0, 2, 1)
     assert float(got["P2"].profit_margin) == 66.67
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
-def test_customer_activity(shop, small):
-    rows = facts.fact_customer_activity(shop[3], AS_OF, small).orderBy("customer_id", "activity_date").collect()
+def test_customer_activity(shop):
+    rows = facts.fact_customer_activity(shop[3], AS_OF).orderBy("customer_id", "activity_date").collect()
     assert [(r.customer_id, r.lifetime_orders, r.days_since_first_order, r.days_since_last_order) for r in rows] == [
         ("C1", 1, 0, None), ("C1", 2, 1, 1), ("C2", 1, 0, None), ("C2", 2, 8, 8)]
     assert {r.rfm_recency_score for r in rows if r.customer_id == "C1"} == {1}

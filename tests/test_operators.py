@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from stratamart.operators import changes, ranking
+from stratamart.operators import changes, merge, ranking
 from stratamart.operators.merge import latest_by_key, merge_into_path, merge_upsert, read_bucketed
 from stratamart.operators.ordering import asc, desc
 from stratamart.operators.scd2 import OPEN_END, scd2
@@ -84,6 +84,60 @@ def test_insert_only_merge_appends(spark, tmp_path, rows):
     assert table.select("sk").distinct().count() == 3
 
 
+def test_source_keys_take_the_tables_types(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_into_path(path, frame(spark, [(i, i) for i in range(20)], "id long, v int"), ["id"], ["v"], buckets=4)
+    again = frame(spark, [("3", 100), ("7", 100), ("50", 100), ("x", 1)], "id string, v int")
+    counts = merge_into_path(path, again, ["id"], ["v"])
+    assert (counts.inserted, counts.updated, counts.unkeyed) == (1, 2, 1)
+    table = read_bucketed(spark, path)
+    assert sorted(tuple(r) for r in table.collect()) == sorted(
+        [(i, 100 if i in (3, 7) else i) for i in range(20)] + [(50, 100)])
+    assert dict(table.dtypes)["id"] == "bigint"
+
+
+def test_bucket_count_and_keys_are_the_tables_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_in = frame(spark, [(i, i) for i in range(20)], "id long, v int")
+    merge_into_path(path, rows_in, ["id"], ["v"], buckets=4)
+    counts = merge_into_path(path, frame(spark, [(i, -1) for i in range(15, 22)], "id long, v int"), ["id"], ["v"], buckets=16)
+    assert (counts.inserted, counts.updated) == (2, 5)
+    table = read_bucketed(spark, path)
+    assert table.count() == table.select("id").distinct().count() == 22
+    assert merge.table_state(spark, path).buckets == 4
+    with pytest.raises(ValueError, match="keyed by"):
+        merge_into_path(path, rows_in, ["v"], [])
+
+
+def test_a_merge_that_fails_before_the_switch_changes_nothing(spark, tmp_path, monkeypatch, rows):
+    path = str(tmp_path / "t")
+    merge_into_path(path, frame(spark, [(i, i) for i in range(20)], "id long, v int"), ["id"], ["v"], buckets=4)
+    before = rows(read_bucketed(spark, path))
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    second = frame(spark, [(i, -1) for i in range(10, 30)], "id long, v int")
+    with monkeypatch.context() as patched:
+        patched.setattr(merge, "_commit", broken)
+        with pytest.raises(RuntimeError):
+            merge_into_path(path, second, ["id"], ["v"])
+    assert rows(read_bucketed(spark, path)) == before
+    assert merge_into_path(path, second, ["id"], ["v"]).updated == 10
+    assert merge.remove_old_versions(spark, path) == 0 or read_bucketed(spark, path).count() == 30
+
+
+def test_rows_without_key_are_kept_aside(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    schema = "id string, v int, seq int"
+    first = frame(spark, [("a", 1, 1), (None, 2, 1), (None, 3, 2), ("a", 4, 2)], schema)
+    counts = merge_into_path(path, first, ["id"], ["v"], order_by=["seq"], surrogate="sk", buckets=2)
+    assert (counts.inserted, counts.unkeyed) == (1, 2)
+    assert rows(read_bucketed(spark, path), "id", "v") == [("a", 4)]
+    assert rows(spark.read.parquet(f"{path}/unkeyed"), "id", "v") == [(None, 2), (None, 3)]
+    assert merge_into_path(path, first.limit(0), ["id"], ["v"], surrogate="sk").inserted == 0
+
+
 # --- change capture ----------------------------------------------------------------------------
 
 
