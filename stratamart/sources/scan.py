@@ -43,15 +43,21 @@ _CSV_COMMON = {
     "columnNameOfCorruptRecord": CORRUPT,
     # Column count checks must see the whole record whatever the query selects.
     "columnPruning": "false",
+    # A line break inside quotes belongs to the value, so a file cannot be split at line breaks: large drops come as
+    # many files.
+    "multiLine": "true",
 }
 
-# A JSON document per file: an array of records (stripped) or one object. Not splittable.
+# A JSON document per file: an array of records (stripped) or one object. Not splittable. The limit on the size of a
+# variant holds for a record, not for the file.
 JSON_ARRAY = FileFormat("json", {"wholetext": "true"}, "*.json")
 # The document as it is, array or not.
 JSON_DOCUMENT = FileFormat("json", {"wholetext": "true"}, "*.json", strip_outer_array=False)
 # A JSON document per line: splittable, the format for large drops.
 JSON_LINES = FileFormat("json", {"wholetext": "false"}, "*.json")
 CSV = FileFormat("csv", {**_CSV_COMMON, "sep": ",", "header": "true"}, "*.csv")
+# For files known to have no line break inside quotes: splittable, the format for large files.
+CSV_LINES = FileFormat("csv", {**_CSV_COMMON, "sep": ",", "header": "true", "multiLine": "false"}, "*.csv")
 CSV_NO_HEADER = FileFormat("csv", {**_CSV_COMMON, "sep": ",", "header": "false"}, "*.csv")
 PIPE = FileFormat("csv", {**_CSV_COMMON, "sep": "|", "header": "true"}, "*", strict=False)
 
@@ -137,25 +143,42 @@ def _with_document(records: DataFrame) -> DataFrame:
     )
 
 
+def _with_elements(records: DataFrame) -> DataFrame:
+    """``_elements``: the records of a text, those of an array or the one value; NULL when the text is not JSON.
+
+    An array is read element by element, so its size is bounded by the text alone. As in ``_with_document`` the
+    text is parsed as the only element of an array, in a step of its own.
+    """
+    text = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    is_list = F.col("value").rlike(r"^\s*\[")
+    return (
+        _with_document(records.withColumn("_lists", F.when(is_list, F.from_json(text, "array<array<variant>>")))
+                       .withColumn("_text", F.col("value")).withColumn("value", F.when(~is_list, F.col("value"))))
+        .withColumn("value", F.col("_text"))
+        .withColumn("_elements", F.when(is_list, F.when(F.size("_lists") == 1, F.get("_lists", F.lit(0))))
+                    .when(F.col("_doc").isNotNull(), F.array("_doc")))
+        .drop("_lists", "_text", "_doc")
+    )
+
+
 def shape_json(numbered: DataFrame, fmt: FileFormat) -> DataFrame:
     """Parse the text; with stripping, each element of an outer array becomes a record."""
-    parsed = _with_document(numbered.where(F.trim("value") != ""))
+    texts = numbered.where(F.trim("value") != "")
     lineage = ["filename", "file_row_number", "_file", "_batch_row"]
     if not fmt.strip_outer_array:
+        parsed = _with_document(texts)
         return parsed.select(
             F.col("_doc").alias("raw_data"), *lineage, F.lit(0).alias("_element"),
             F.when(F.col("_doc").isNull(), F.col("value")).alias("_raw"),
             F.col("_doc").isNull().alias("_rejected"),
         )
-    elements = F.coalesce(variant_array(F.col("_doc"), "$"), F.array(F.col("_doc")))
     whole = fmt.options["wholetext"] == "true"
     row_number = F.col("_element") + 1 if whole else F.col("file_row_number")
     return (
+        _with_elements(texts)
         # The text itself is carried on only for a rejected document.
-        parsed.select(
-            *lineage, F.when(F.col("_doc").isNull(), F.col("value")).alias("_raw"),
-            F.posexplode(elements).alias("_element", "raw_data"),
-        )
+        .select(*lineage, F.when(F.col("_elements").isNull(), F.col("value")).alias("_raw"),
+                F.posexplode(F.coalesce("_elements", F.array(F.lit(None).cast("variant")))).alias("_element", "raw_data"))
         .withColumn("file_row_number", row_number.cast("long"))
         .withColumn("_rejected", F.col("raw_data").isNull())
         .select("raw_data", *lineage, "_element", "_raw", "_rejected")

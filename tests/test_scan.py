@@ -59,6 +59,25 @@ def test_csv_short_and_long_rows_are_rejected(spark, tmp_path, rows):
     assert good.select("a").count() == 2
 
 
+def test_line_breaks_inside_quotes_belong_to_the_value(spark, tmp_path, rows):
+    (tmp_path / "c.csv").write_text('a,b\n1,"x\ny"\n2,z\n3,"p\r\nq, r"\n4\n')
+    good, rejects = scan.scan_csv(spark, str(tmp_path), ["a", "b"])
+    assert rows(good, "a", "b", "file_row_number") == [("1", "x\ny", 1), ("2", "z", 2), ("3", "p\r\nq, r", 3)]
+    assert rows(rejects, "raw_record") == [("4",)]
+
+
+def test_an_array_larger_than_one_variant_loads_every_record(spark, tmp_path):
+    filler = "x" * 980
+    with open(tmp_path / "large.json", "w") as f:
+        f.write("[")
+        f.writelines(f'{"," if i else ""}{{"id": {i}, "note": "{filler}"}}\n' for i in range(140_000))
+        f.write("]")
+    good, rejects = scan.scan_json(spark, str(tmp_path))
+    ids = good.select(F.variant_get("raw_data", "$.id", "long").alias("id"), "file_row_number")
+    assert ids.agg(F.count("id"), F.sum("id"), F.max("file_row_number")).first()[:] == (140_000, 140_000 * 139_999 // 2, 140_000)
+    assert rejects.count() == 0
+
+
 def test_no_header_and_lenient_pipe(spark, tmp_path, rows):
     (tmp_path / "n").mkdir()
     (tmp_path / "n" / "c.csv").write_text("1,2\n3,4\n")
@@ -85,7 +104,7 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text(f"n,v\n{lines}\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
     try:
-        records = scan.read_files(spark, str(tmp_path), scan.CSV, ["n", "v"])
+        records = scan.read_files(spark, str(tmp_path), scan.CSV_LINES, ["n", "v"])
         numbered = scan.with_record_numbers(records)
         assert records.rdd.getNumPartitions() > 8
         wrong = numbered.where(F.col("n").cast("long") != F.col("file_row_number")).count()
@@ -97,7 +116,7 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
 
 def test_changed_splits_stop_the_job(spark, tmp_path):
     (tmp_path / "x.csv").write_text("n\n" + "\n".join(str(i) for i in range(5000)) + "\n")
-    numbered = scan.with_record_numbers(scan.read_files(spark, str(tmp_path), scan.CSV, ["n"]))
+    numbered = scan.with_record_numbers(scan.read_files(spark, str(tmp_path), scan.CSV_LINES, ["n"]))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
     try:
         with pytest.raises(Exception, match="file blocks changed"):
