@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import as_date, date_key
-from ..functions.numeric import MONEY, PERCENT, average, percent_of, ratio, round_half_away
+from ..functions.numeric import MONEY, PERCENT, percent_of, quotient, rounded_average, zero_percent
 from ..operators.ordering import asc, desc
 from ..operators.ranking import global_ranks, ntile_by_cuts, ntile_cuts
 from ..session import stage
@@ -65,7 +65,7 @@ def fact_sales_items(items: DataFrame, sales: DataFrame, products: DataFrame) ->
     lines = items.drop("source_record_id").join(header, "order_id", "left").join(costs, "product_id", "left")
     cost = (F.col("quantity").try_cast("decimal(14,0)") * F.col("unit_cost")).try_cast(MONEY)
     profit = (F.col("line_net_amount") - cost).try_cast(MONEY)
-    margin = F.when(F.col("line_net_amount") > 0, percent_of(profit, F.col("line_net_amount"))).otherwise(F.lit(0.0))
+    margin = F.when(F.col("line_net_amount") > 0, percent_of(profit, F.col("line_net_amount"))).otherwise(zero_percent())
     return lines.select(
         *sales_key, "date_sk", "customer_sk", "product_sk", "order_id", "line_number", "order_date",
         "customer_id", "product_id", "quantity", "unit_price", "unit_cost", "discount_percent",
@@ -97,9 +97,9 @@ def fact_daily_sales(orders: DataFrame, start: dt.date | str | None = None,
         _sum("total_amount").alias("net_revenue"),
         _sum("tax_amount").alias("total_tax"),
         _sum("shipping_cost").alias("total_shipping"),
-        round_half_away(average(F.col("total_amount")), 4).alias("avg_order_value"),
-        round_half_away(average(F.col("total_items")), 2).alias("avg_items_per_order"),
-        round_half_away(average(F.col("discount_percent")), 4).alias("avg_discount_percent"),
+        rounded_average(F.col("total_amount"), 4).try_cast(MONEY).alias("avg_order_value"),
+        rounded_average(F.col("total_items"), 2).try_cast("decimal(8,2)").alias("avg_items_per_order"),
+        rounded_average(F.col("discount_percent"), 4).try_cast(PERCENT).alias("avg_discount_percent"),
         F.sum("unique_products").alias("unique_products_sold"),
     ).select(date_key(F.col("snapshot_date")).alias("date_sk"), "*")
 
@@ -203,8 +203,8 @@ def fact_customer_activity(sales: DataFrame, as_of: dt.date | str) -> DataFrame:
         "orders_placed", "items_purchased", "total_spend",
         orders_to_date.alias("lifetime_orders"), "lifetime_spend", "lifetime_items",
         "days_since_first_order", F.col("days_since_prev_order").alias("days_since_last_order"),
-        round_half_away(ratio(F.col("lifetime_spend"), orders_to_date), 4).alias("avg_order_value"),
-        round_half_away(ratio(F.col("days_since_first_order"), orders_to_date - 1), 2)
+        quotient(F.col("lifetime_spend"), orders_to_date, 4).alias("avg_order_value"),
+        quotient(F.col("days_since_first_order"), orders_to_date - 1, 2)
         .alias("avg_days_between_orders"),
         F.col("_recency").alias("rfm_recency_score"),
         F.col("_frequency").alias("rfm_frequency_score"),
@@ -241,7 +241,7 @@ def fact_product_performance(sales_items: DataFrame, products: DataFrame) -> Dat
     # Year before month: the partitioning by product and year also serves the monthly window.
     running = days.select(
         "*",
-        F.when(net > 0, percent_of(profit, net)).otherwise(F.lit(0.0)).try_cast(PERCENT).alias("profit_margin"),
+        F.when(net > 0, percent_of(profit, net)).otherwise(zero_percent()).try_cast(PERCENT).alias("profit_margin"),
         F.sum("quantity_sold").over(per_year).alias("ytd_quantity"),
         F.sum(net).over(per_year).alias("ytd_revenue"),
     ).select(

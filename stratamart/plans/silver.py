@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import as_date, day_of_week, is_weekend, try_date, try_wall_clock
-from ..functions.numeric import MONEY, PERCENT, percent_of, try_decimal
+from ..functions.numeric import MONEY, PERCENT, percent_of, try_decimal, zero_percent
 from ..functions.quality import dq_score
 from ..functions.text import EMAIL_LIKE, TRUE_WORDS, country_code, customer_tier, digits_only, looks_like_email, trim_upper
 from ..operators.changes import anti_new
@@ -102,7 +102,7 @@ def silver_products(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
         price.alias("unit_price"),
         cost.alias("unit_cost"),
         (price - cost).try_cast(MONEY).alias("profit_margin"),
-        F.when(price > 0, percent_of(price - cost, price)).otherwise(F.lit(0.0)).try_cast(PERCENT).alias("margin_percent"),
+        F.when(price > 0, percent_of(price - cost, price)).otherwise(zero_percent()).try_cast(PERCENT).alias("margin_percent"),
         kg.alias("weight_kg"),
         F.round(kg * F.lit(Decimal(POUNDS_PER_KG)), 4).cast("decimal(12,4)").alias("weight_lbs"),
         "supplier_id",
@@ -125,7 +125,7 @@ def _money(path: str) -> Column:
 
 def order_discount_percent(subtotal: Column, discount: Column) -> Column:
     """Discount share; 0 unless the subtotal is positive."""
-    return F.when(subtotal > 0, percent_of(discount, subtotal)).otherwise(F.lit(0.0)).try_cast(PERCENT)
+    return F.when(subtotal > 0, percent_of(discount, subtotal)).otherwise(zero_percent()).try_cast(PERCENT)
 
 
 # The order document's header, typed in one read; a field that does not convert is NULL on its own.

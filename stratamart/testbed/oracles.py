@@ -23,10 +23,16 @@ AS_OF = "DATE '2002-01-01'"
 MONEY = "DECIMAL(18,4)"
 
 
-def rnd(x: str, digits: int = 2) -> str:
-    """Round half away from zero in double arithmetic."""
-    f = f"{10**digits}.0::DOUBLE"
-    return f"(sign({x}) * floor(abs({x}) * {f} + 0.5::DOUBLE) / {f} + 0.0::DOUBLE)"
+def exact(x: str) -> str:
+    """A decimal of at most four places as a whole number of ten-thousandths."""
+    return f"(({x})::DECIMAL(28,4) * 10000)::HUGEINT"
+
+
+def quo(a: str, b: str, digits: int = 2, factor: int = 1) -> str:
+    """factor * a / b, half of the last place rounded away from zero, in whole numbers."""
+    x, y = exact(a), exact(b)
+    return (f"(sign({x})::DOUBLE * sign({y})::DOUBLE * ((abs({x}) * {2 * factor * 10**digits} + abs({y})) "
+            f"// nullif(2 * abs({y}), 0))::DOUBLE / {10**digits}.0::DOUBLE + 0.0::DOUBLE)")
 
 
 def ratio(a: str, b: str) -> str:
@@ -34,7 +40,7 @@ def ratio(a: str, b: str) -> str:
 
 
 def pct(a: str, b: str) -> str:
-    return rnd(f"({ratio(a, b)} * 100.0::DOUBLE)")
+    return quo(a, b, 2, 100)
 
 
 def growth(cur: str, prev: str) -> str:
@@ -276,8 +282,8 @@ SELECT strftime(order_date, '%Y%m%d')::BIGINT AS date_sk, order_date AS snapshot
        0::BIGINT AS new_customers, sum(total_items) AS total_items_sold, sum(total_quantity) AS total_quantity,
        sum(subtotal) AS gross_revenue, sum(discount_amount) AS total_discounts, sum(total_amount) AS net_revenue,
        sum(tax_amount) AS total_tax, sum(shipping_cost) AS total_shipping,
-       {rnd(avg('total_amount'), 4)} AS avg_order_value, {rnd(avg('total_items'), 2)} AS avg_items_per_order,
-       {rnd(avg('discount_percent::DECIMAL(8,4)'), 4)} AS avg_discount_percent,
+       {quo('sum(total_amount)', 'count(total_amount)', 4)} AS avg_order_value, {quo('sum(total_items)', 'count(total_items)', 2)} AS avg_items_per_order,
+       {quo('sum(discount_percent::DECIMAL(8,4))', 'count(discount_percent::DECIMAL(8,4))', 4)} AS avg_discount_percent,
        sum(unique_products) AS unique_products_sold
 FROM {source} GROUP BY order_date"""
 
@@ -583,8 +589,8 @@ GROUP BY snapshot_date"""})
 SELECT strftime(activity_date, '%Y%m%d')::BIGINT AS date_sk, customer_sk, customer_id, activity_date, orders_placed,
        {dbl('items_purchased', 'total_spend')}, to_date::BIGINT AS lifetime_orders, {dbl('lifetime_spend', 'lifetime_items')},
        days_since_first_order, days_since_last_order,
-       {rnd(ratio('lifetime_spend', 'to_date'), 4)} AS avg_order_value,
-       {rnd(ratio('days_since_first_order', 'to_date - 1'), 2)} AS avg_days_between_orders,
+       {quo('lifetime_spend', 'to_date', 4)} AS avg_order_value,
+       {quo('days_since_first_order', 'to_date - 1', 2)} AS avg_days_between_orders,
        r AS rfm_recency_score, f AS rfm_frequency_score, m AS rfm_monetary_score,
        CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions' WHEN f >= 4 THEN 'Loyal' WHEN r >= 4 THEN 'Recent'
             WHEN r <= 2 AND f >= 3 THEN 'At Risk' WHEN r <= 2 THEN 'Lapsed' ELSE 'Regular' END AS rfm_segment
@@ -637,14 +643,14 @@ WINDOW w AS (ORDER BY full_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 SELECT customer_segment, customer_tier, tenure_band, region, count(DISTINCT customer_id) AS customer_count,
        count(DISTINCT order_id) AS total_orders, sum(total_amount)::DOUBLE AS total_revenue,
        {avg('total_amount')} AS avg_order_value, sum(total_quantity)::DOUBLE AS total_items_purchased,
-       {rnd(ratio('sum(total_amount)', 'count(DISTINCT customer_id)'))} AS revenue_per_customer,
-       {rnd(ratio('count(DISTINCT order_id)', 'count(DISTINCT customer_id)'))} AS orders_per_customer
+       {quo('sum(total_amount)', 'count(DISTINCT customer_id)')} AS revenue_per_customer,
+       {quo('count(DISTINCT order_id)', 'count(DISTINCT customer_id)')} AS orders_per_customer
 FROM with_sales GROUP BY 1, 2, 3, 4""", per_customer)
     q["v_product_performance"] = build(f"""
 SELECT product_id, product_name, category, subcategory, brand, price_band,
        {dbl('unit_price', 'unit_cost', 'margin_percent')}, count(DISTINCT order_id) AS times_ordered,
        sum(quantity)::DOUBLE AS total_quantity_sold, sum(line_net_amount)::DOUBLE AS total_revenue,
-       sum(line_profit)::DOUBLE AS total_profit, {rnd(avg('given'))} AS avg_discount_given,
+       sum(line_profit)::DOUBLE AS total_profit, {quo('sum(given)', 'count(given)')} AS avg_discount_given,
        rank() OVER (PARTITION BY category ORDER BY sum(line_net_amount) DESC NULLS FIRST) AS category_revenue_rank,
        rank() OVER (ORDER BY sum(line_net_amount) DESC NULLS FIRST) AS overall_revenue_rank
 FROM by_product
@@ -668,14 +674,14 @@ FROM months WINDOW w AS (ORDER BY year, month)""", {"months": months})
 SELECT category, subcategory, count(DISTINCT product_id) AS product_count, count(DISTINCT order_id) AS total_orders,
        sum(quantity)::DOUBLE AS total_units_sold, sum(line_net_amount)::DOUBLE AS total_revenue,
        sum(line_profit)::DOUBLE AS total_profit, {pct('sum(line_profit)', 'sum(line_net_amount)')} AS profit_margin_pct,
-       {avg('sold_at')} AS avg_unit_price, {rnd(avg('given'))} AS avg_discount_pct,
+       {avg('sold_at')} AS avg_unit_price, {quo('sum(given)', 'count(given)')} AS avg_discount_pct,
        {pct('sum(line_net_amount)', 'sum(sum(line_net_amount)) OVER ()')} AS revenue_contribution_pct
 FROM by_product GROUP BY 1, 2""", {"by_product": ITEMS_BY_PRODUCT})
     q["v_geographic_sales"] = build(f"""
 SELECT region, state, city, count(DISTINCT customer_id) AS customer_count, count(DISTINCT order_id) AS total_orders,
        sum(total_amount)::DOUBLE AS total_revenue, {avg('total_amount')} AS avg_order_value,
        sum(shipping_cost)::DOUBLE AS total_shipping,
-       {rnd(ratio('sum(total_amount)', 'count(DISTINCT customer_id)'))} AS revenue_per_customer,
+       {quo('sum(total_amount)', 'count(DISTINCT customer_id)')} AS revenue_per_customer,
        {pct('sum(total_amount)', 'sum(sum(total_amount)) OVER ()')} AS revenue_pct_of_total
 FROM with_sales GROUP BY 1, 2, 3""", per_customer)
     since = f"date_diff('day', max(order_date), {AS_OF})"

@@ -35,9 +35,16 @@ def test_second_boundaries(spark):
     assert value(spark, dates.second_boundaries(a, b)) == 1
 
 
-@pytest.mark.parametrize("x, expected", [(0.005, 0.01), (-0.005, -0.01), (2.344, 2.34), (-2.345, -2.35), (0.0, 0.0)])
-def test_round_half_away(spark, x, expected):
-    assert value(spark, numeric.round_half_away(F.lit(x), 2)) == expected
+@pytest.mark.parametrize("above, below, digits, expected", [
+    ("201", "200", 2, "1.01"), ("-201", "200", 2, "-1.01"), ("201", "-200", 2, "-1.01"), ("1.005", "1", 2, "1.01"),
+    ("1", "3", 4, "0.3333"), ("2", "3", 4, "0.6667"), ("0", "7", 2, "0.00"), ("1", "0", 2, None)])
+def test_quotient_rounds_half_away_exactly(spark, above, below, digits, expected):
+    got = value(spark, numeric.quotient(F.lit(Decimal(above)), F.lit(Decimal(below)), digits))
+    assert got == (None if expected is None else Decimal(expected))
+
+
+def test_percent_of_a_tie(spark):
+    assert value(spark, numeric.percent_of(F.lit(Decimal("201")), F.lit(Decimal("20000")))) == Decimal("1.01")
 
 
 def test_ratio_and_growth(spark):
