@@ -95,8 +95,9 @@ Consumer = Callable[[Warehouse, DataFrame, dt.date, dt.datetime], MergeCounts]
 
 
 def consume(spark: SparkSession, house: Warehouse, table: RawTable, consumer: str, merge: Consumer,
-            as_of: dt.date) -> int:
-    """Feed the unread good records of a raw table to a merge; the number of batches that ran."""
+            as_of: dt.date, files_per_batch: int | None = None) -> int:
+    """Feed the unread good records of a raw table to a merge, at most ``files_per_batch`` files at a time; the
+    number of batches that ran."""
     path = f"{house.bronze}/{table.name}"
     if not table_exists(spark, path):
         return 0
@@ -106,13 +107,13 @@ def consume(spark: SparkSession, house: Warehouse, table: RawTable, consumer: st
         good = batch.where(F.col("rejected") == 0).select(*LINEAGE_COLUMNS, *table.data_columns())
         merge(house, good, as_of, _clock())
 
-    return drain(read_growing(spark, path, stored), f"{house.root}/checkpoints/{consumer}", run)
+    return drain(read_growing(spark, path, stored, files_per_batch), f"{house.root}/checkpoints/{consumer}", run)
 
 
-def transform_all(spark: SparkSession, house: Warehouse, as_of: dt.date) -> dict[str, int]:
+def transform_all(spark: SparkSession, house: Warehouse, as_of: dt.date, files_per_batch: int | None = None) -> dict[str, int]:
     """Silver: customers, products, orders, order items."""
     return {
-        name: consume(spark, house, table, f"silver_{name}", merge, as_of)
+        name: consume(spark, house, table, f"silver_{name}", merge, as_of, files_per_batch)
         for name, table, merge in (
             ("customers", RAW_CUSTOMERS, merge_customers),
             ("products", RAW_PRODUCTS, merge_products),
@@ -131,9 +132,9 @@ def merge_events(house: Warehouse, raw: DataFrame, as_of: dt.date, now: dt.datet
     )
 
 
-def transform_events(spark: SparkSession, house: Warehouse) -> int:
+def transform_events(spark: SparkSession, house: Warehouse, files_per_batch: int | None = None) -> int:
     """Unread events into silver; the number of batches that ran."""
-    return consume(spark, house, RAW_EVENTS, "silver_events", merge_events, _clock().date())
+    return consume(spark, house, RAW_EVENTS, "silver_events", merge_events, _clock().date(), files_per_batch)
 
 
 def load_events(spark: SparkSession, house: Warehouse, landing: str):
@@ -258,16 +259,18 @@ def _logged(spark: SparkSession, house: Warehouse, layer: str, name: str, step:
 
 def run_layers(spark: SparkSession, landing: str, root: str, as_of: dt.date, start: dt.date | None = None,
                end: dt.date | None = None, buckets: int = 16,
-               order_format: FileFormat = RAW_ORDERS.fmt, since: dt.datetime | None = None) -> dict[str, dict]:
+               order_format: FileFormat = RAW_ORDERS.fmt, since: dt.datetime | None = None,
+               files_per_batch: int | None = None) -> dict[str, dict]:
     """Bronze, silver, gold. A second run with no new files changes nothing.
 
-    ``since`` (the start of the last run) limits gold to silver rows written from then on.
+    ``since`` (the start of the last run) limits gold to silver rows written from then on. ``files_per_batch``
+    bounds what one load or merge takes, whatever the backlog.
     """
     house = Warehouse(root, buckets)
     return {
         "bronze": _logged(spark, house, "bronze", "load_all_raw",
-                          lambda: load_all_raw(spark, landing, house.bronze, order_format)),
-        "silver": _logged(spark, house, "silver", "transform_all", lambda: transform_all(spark, house, as_of)),
+                          lambda: load_all_raw(spark, landing, house.bronze, order_format, files_per_batch)),
+        "silver": _logged(spark, house, "silver", "transform_all", lambda: transform_all(spark, house, as_of, files_per_batch)),
         "gold": _logged(spark, house, "gold", "populate_all",
                         lambda: populate_all(spark, house, as_of, start, end, since)),
     }

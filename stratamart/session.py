@@ -42,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    return _local_scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="stratamart-"))
+    if context.applicationId not in _local_scratch:
+        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="stratamart-")
+    return _local_scratch[context.applicationId]
 
 
 def _app_dir(spark: SparkSession) -> str:

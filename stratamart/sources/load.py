@@ -101,7 +101,8 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
 
     The file stream's checkpoint remembers the loaded files, so a rerun loads nothing. Every micro-batch
     overwrites its own ``epoch`` partition, so a batch replayed after a failure is not doubled; bad
-    records go to the ``rejected=1`` partition in the same pass. On failure a FAILED row is logged
+    records go to the ``rejected=1`` partition in the same pass. ``files_per_batch`` bounds a micro-batch, whatever
+    the backlog. On failure a FAILED row is logged
     and the error raised again.
     """
     fmt = fmt or table.fmt
@@ -140,14 +141,15 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
         )
 
     try:
-        stream = read_files(spark, landing, fmt, list(table.columns), stream=True, glob=shown)
+        stream = read_files(spark, landing, fmt, list(table.columns), stream=True, glob=shown, files_per_batch=files_per_batch)
         writer = stream.writeStream.foreachBatch(write_epoch).option(
             "checkpointLocation", f"{bronze}/checkpoints/load_{table.name}"
         )
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
     except Exception as error:
-        failed = BatchResult(batch_id, table.name, 0, 0, "FAILED", str(error)[:5000])
+        # Micro-batches that were committed before the failure stay loaded.
+        failed = BatchResult(batch_id, table.name, totals["loaded"], totals["rejected"], "FAILED", str(error)[:5000])
         append_batch_log(spark, log_path, failed, shown, start, _now())
         raise
     result = BatchResult(batch_id, table.name, totals["loaded"], totals["rejected"], "SUCCESS")
@@ -168,11 +170,11 @@ def read_quarantine(spark: SparkSession, table: RawTable, bronze: str) -> DataFr
     )
 
 
-def load_all_raw(spark: SparkSession, landing: str, bronze: str,
-                 order_format: FileFormat = RAW_ORDERS.fmt) -> dict[str, BatchResult]:
+def load_all_raw(spark: SparkSession, landing: str, bronze: str, order_format: FileFormat = RAW_ORDERS.fmt,
+                 files_per_batch: int | None = None) -> dict[str, BatchResult]:
     """Orders, customers, products: the fixed load order. Large order drops come as JSON Lines."""
     return {
-        table.name: load_raw(spark, table, f"{landing}/{area}", bronze, fmt=fmt)
+        table.name: load_raw(spark, table, f"{landing}/{area}", bronze, fmt=fmt, files_per_batch=files_per_batch)
         for table, area, fmt in (
             (RAW_ORDERS, "orders", order_format),
             (RAW_CUSTOMERS, "customers", None),

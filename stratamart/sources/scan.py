@@ -63,9 +63,12 @@ PIPE = FileFormat("csv", {**_CSV_COMMON, "sep": "|", "header": "true"}, "*", str
 
 
 def read_files(spark: SparkSession, path: str, fmt: FileFormat, columns: list[str] | None = None,
-               stream: bool = False, glob: str | None = None) -> DataFrame:
-    """Records as the reader delivers them plus file position columns; batch or streaming."""
+               stream: bool = False, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """Records as the reader delivers them plus file position columns; batch or streaming, with at most
+    ``files_per_batch`` files in a micro-batch."""
     reader = spark.readStream if stream else spark.read
+    if stream and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     reader = reader.option("pathGlobFilter", glob or fmt.glob).option("recursiveFileLookup", "true")
     if fmt.kind == "json":
         # As an argument in batch: the method's default would override the option.

@@ -570,6 +570,17 @@ SELECT date_sk, customer_sk, product_sk, order_id, line_number, order_date, cust
          AS line_margin_percent FROM fact_items""")
     q["fact_daily_sales"] = build(f"SELECT {DAILY_OUT} FROM daily")
     q["full_layer_run"] = q["fact_daily_sales"]
+    q["run_pipeline"] = build("""
+SELECT 'dim_customer' AS table_name, count(*) AS n_rows, count(DISTINCT customer_id) AS n_keys,
+       sum(customer_tenure_days)::DOUBLE AS measure FROM dim_customer
+UNION ALL SELECT 'dim_product', count(*), count(DISTINCT product_id), sum(unit_price)::DOUBLE FROM dim_product
+UNION ALL SELECT 'dim_geography', count(*), count(*), count(*)::DOUBLE FROM (
+  SELECT DISTINCT shipping_city, shipping_state, shipping_country FROM silver_orders
+  WHERE shipping_city IS NOT NULL AND shipping_state IS NOT NULL AND shipping_country IS NOT NULL)
+UNION ALL SELECT 'fact_sales', count(*), count(DISTINCT order_id), sum(total_amount)::DOUBLE FROM fact_sales
+UNION ALL SELECT 'fact_sales_items', count(*), count(DISTINCT (order_id, line_number)), sum(line_net_amount)::DOUBLE
+FROM fact_items
+UNION ALL SELECT 'fact_daily_sales', count(*), count(DISTINCT date_sk), sum(net_revenue)::DOUBLE FROM daily""")
     q["daily_sales_trends"] = build(f"""
 SELECT date_sk, snapshot_date, {big('total_orders')}, {dbl('net_revenue')},
        (sum(total_orders) OVER ytd)::BIGINT AS ytd_orders, (sum(net_revenue) OVER ytd)::DOUBLE AS ytd_revenue,

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stratamart.schemas import PRODUCT_COLUMNS
 from stratamart.sources import load, scan
 
 
@@ -73,3 +74,17 @@ def test_json_lines_and_glob(spark, tmp_path, rows):
     table = load.read_raw(spark, load.RAW_EVENTS, bronze)
     assert [(r[0], str(r[1])) for r in rows(table, "event_id", "event_timestamp")] == [
         ("E1", "2025-01-01 09:00:00"), ("E2", "None")]
+
+
+def test_batches_are_bounded_by_files(spark, tmp_path):
+    """k files in k batches; record ids stay unique and nothing is loaded twice."""
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    landing.mkdir()
+    for i in range(3):
+        (landing / f"p{i}.csv").write_text(",".join(PRODUCT_COLUMNS) + "\n" + ",".join([f"P{i}"] * len(PRODUCT_COLUMNS)) + "\n")
+    result = load.load_raw(spark, load.RAW_PRODUCTS, str(landing), bronze, files_per_batch=1)
+    assert (result.loaded, result.rejected) == (3, 0)
+    stored = spark.read.parquet(f"{bronze}/raw_products")
+    assert stored.select("epoch").distinct().count() == 3
+    assert stored.select("record_id").distinct().count() == 3
+    assert load.load_raw(spark, load.RAW_PRODUCTS, str(landing), bronze, files_per_batch=1).loaded == 0
