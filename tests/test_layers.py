@@ -235,7 +235,7 @@ def test_sales_overview_counts_rows(spark, shop):
     days = views.v_sales_overview(facts.fact_daily_sales(shop[0]), dims.dim_date(spark)).collect()
     assert [d.full_date.day for d in days] == [23, 16, 15]
     assert [d.revenue_7day_avg for d in days] == [40.0, 55.0, 60.0]
-    assert [d.revenue_dod_growth_pct for d in days] == [-80.0, -16.67, 0.0]
+    assert [d.revenue_dod_growth_pct for d in days] == [Decimal("-80.00"), Decimal("-16.67"), Decimal("0.00")]
 
 
 def test_customer_without_orders_scores(shop):

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -230,7 +231,7 @@ def test_surrogate_keys_are_dense_in_key_order(spark, rows):
 
 def test_pct_of_total(spark, rows):
     df = frame(spark, [("a", 1), ("b", 2), ("c", None)], "g string, v int")
-    assert rows(ranking.pct_of_total(df, "v", "p"), "g", "p") == [("a", 33.33), ("b", 66.67), ("c", None)]
+    assert rows(ranking.pct_of_total(df, "v", "p"), "g", "p") == [("a", Decimal("33.33")), ("b", Decimal("66.67")), ("c", None)]
     zero = frame(spark, [("a", 0)], "g string, v int")
     assert rows(ranking.pct_of_total(zero, "v", "p"), "p") == [(None,)]
 
