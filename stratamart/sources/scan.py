@@ -14,9 +14,6 @@ from ..operators.flatten import variant_array
 from ..schemas import text_schema
 from ..session import stage
 
-# Offsets of up to this many file blocks (about 100 bytes each) are sent to every executor.
-MAX_BROADCAST_BLOCKS = 500_000
-
 CORRUPT = "_corrupt"
 
 # Cell texts that mean NULL.
@@ -105,9 +102,8 @@ def with_record_numbers(records: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_rows").over(by_file), F.lit(0)).alias("_in_file"),
         F.coalesce(F.sum("_rows").over(overall), F.lit(0)).alias("_in_batch"),
     )
-    if blocks.count() <= MAX_BROADCAST_BLOCKS:
-        # Keeps the records where they were read; beyond the bound they are joined by a shuffle.
-        offsets = F.broadcast(offsets)
+    # The block table is a written one, so Spark knows its size: below its own broadcast threshold the records stay
+    # where they were read, beyond it they are joined by a shuffle.
     offset = F.col("_id") - F.col("_first")
     # Both passes must cut the files alike. A record outside its counted block stops the job, never
     # drops out or gets another's number.
