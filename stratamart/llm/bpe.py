@@ -8,24 +8,58 @@ parts are words that came before, so the library is asked once for each.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
-# Parts remembered per worker, about 200 bytes each. Later parts are encoded every time they come.
-REMEMBERED = 400_000
+# Parts remembered per worker, about 180 bytes each. Later parts are encoded every time they come.
+REMEMBERED = 1_000_000
 
 # A space after white space: the splitter treats it differently, so no cut there.
 _SPACED = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
+# The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for those from U+0100 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = {b: b for b in _VISIBLE} | {b: 0x100 + n for n, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
+
+
+def _is_word(text: str) -> bool:
+    """Latin letters only, on which all Unicode versions agree: the splitter makes one token of them."""
+    return text.isalpha() and (text.isascii() or max(text) < "\u0250")
 
 
 class _Parts(dict):
+    """Ids of a part, with what stands before it (``lead``); asks the library for parts that are new."""
+
     def __init__(self, tokenizer, lead: str):
-        self.tokenizer, self.lead = tokenizer, lead
+        self.tokenizer, self.lead, self.line = tokenizer, lead, self
+        self.model = tokenizer.model
+        self.marks = {c: self.ask(c) for c in (".", ",", "\n")}
+
+    def ask(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ask_word(self, word: str) -> bytes:
+        """One token of the splitter goes straight to the merge model."""
+        plain = (self.lead + word).encode().decode("latin-1").translate(_ALPHABET)
+        ids = [token.id for token in self.model.tokenize(plain)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.tokenizer.encode(self.lead + part, add_special_tokens=False).ids
-        found = np.array(ids, "<u4").tobytes()
+        if _is_word(part):
+            found = self.ask_word(part)
+        elif part[-1:] in (".", ",") and _is_word(part[:-1]):
+            word = part[:-1]
+            known = word in self
+            found = self[word] + self.marks[part[-1]]
+            if not known:
+                return found  # perhaps a word that never comes again
+        else:
+            before, line_end, after = part.partition("\n")
+            # One line end between visible characters is a token of its own.
+            if line_end and before and after and not before[-1].isspace() and not after[0].isspace():
+                return self[before] + self.marks["\n"] + self.line[after]
+            found = self.ask(self.lead + part)
         if len(self) < REMEMBERED:
             self[part] = found
         return found
@@ -55,7 +89,9 @@ class BpeEncoder:
 
             tokenizer = Tokenizer.from_str(self.definition)
             tokenizer.encode_special_tokens = True
-            _workers[key] = _Parts(tokenizer, ""), _Parts(tokenizer, " ")
+            first, rest = _Parts(tokenizer, ""), _Parts(tokenizer, " ")
+            rest.line = first
+            _workers[key] = first, rest
         return _workers[key]
 
     def vocabulary(self) -> int:
