@@ -71,26 +71,29 @@ _workers: dict[int, "tuple[_Parts, _Parts]"] = {}
 class BpeEncoder:
     """A tokenizer file's text as encoder; travels to the executors as that text.
 
-    Strings of special tokens in a text are ordinary text, so a document cannot forge an end mark.
+    With ``marks_as_text`` strings of special tokens in a text are ordinary text, so a document cannot forge an end
+    mark. Without it they are the added tokens' ids, as in the library's default.
     """
 
-    def __init__(self, definition: str):
-        self.definition = definition
+    def __init__(self, definition: str, marks_as_text: bool = True):
+        self.definition, self.marks_as_text = definition, marks_as_text
 
     @classmethod
-    def load(cls, path: str) -> "BpeEncoder":
+    def load(cls, path: str, marks_as_text: bool = True) -> "BpeEncoder":
         with open(path, encoding="utf-8") as file:
-            return cls(file.read())
+            return cls(file.read(), marks_as_text)
 
     def _parts(self) -> tuple[_Parts, _Parts]:
-        key = hash(self.definition)
+        key = hash((self.definition, self.marks_as_text))
         if key not in _workers:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_str(self.definition)
-            tokenizer.encode_special_tokens = True
+            tokenizer.encode_special_tokens = self.marks_as_text
             first, rest = _Parts(tokenizer, ""), _Parts(tokenizer, " ")
             rest.line = first
+            first.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()
+                           if not (self.marks_as_text and t.special)]
             _workers[key] = first, rest
         return _workers[key]
 
@@ -102,5 +105,7 @@ class BpeEncoder:
         if not text:
             return b""
         first, rest = self._parts()
+        if any(mark in text for mark in first.added):
+            return first.ask(text)  # an added token may take spaces with it or hold some, so the whole text at once
         parts = _CUT.split(text) if _SPACED.search(text) else text.split(" ")
         return first[parts[0]] + b"".join(map(rest.__getitem__, parts[1:]))

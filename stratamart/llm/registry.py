@@ -69,7 +69,7 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoder = BpeEncoder.load(public_tokenizers.path(BPE_MODEL))
+    encoder = BpeEncoder.load(public_tokenizers.path(BPE_MODEL), marks_as_text=False)
     manifest = token_files.write(table(spark, sf_dir, "documents"), encoder, FILE_END)
     return token_files.read(manifest, lambda key, start, ids: (key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())),
                             "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -82,7 +82,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoder = BpeEncoder.load(public_tokenizers.path(BPE_MODEL))
+    encoder = BpeEncoder.load(public_tokenizers.path(BPE_MODEL), marks_as_text=False)
     packed = packing.pack(table(spark, sf_dir, "documents"), encoder, PACK_END)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -10,7 +10,8 @@ from hypothesis import given, settings, strategies as st
 from sentencepiece import sentencepiece_model_pb2 as model_format
 from tokenizers import Tokenizer
 
-from stratamart.llm import packing, token_files
+import corpus_pipeline
+from stratamart.llm import packing, registry, token_files
 from stratamart.llm.bpe import BpeEncoder
 from stratamart.llm.differencing import differencing
 from stratamart.llm.sentencepiece_codec import CharacterMap, Codec, Normaliser, decode, encode
@@ -90,6 +91,35 @@ def test_odd_bpe_texts():
         assert np.frombuffer(BpeEncoder.load(BPE).encode(text), "<u4").tolist() == library_ids(text)
 
 
+def test_added_tokens_get_their_ids_as_in_an_untouched_library():
+    library, encoder = Tokenizer.from_file(BPE), BpeEncoder.load(BPE, marks_as_text=False)
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    mark = "<|endoftext|>"
+    for text in [*ODD, mark, mark * 2, f"a {mark} b", f"a{mark}b", f"x \n{mark}\n  y", f"{mark} a", "<|endof text|>",
+                 f"{'one two. ' * 2000}{mark} it's  he'll"]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_token_queries_and_the_packing_stage_keep_added_tokens(spark, tmp_path):
+    texts = {1: "a <|endoftext|> b", 2: "plain words", 3: None}
+    rows = [(k, t, "en", "a", len(t or "")) for k, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    library, start = Tokenizer.from_file(BPE), 0
+    ids = {k: library.encode(t or "", add_special_tokens=False).ids for k, t in texts.items()}
+    crc = lambda found: zlib.crc32(np.array(found, "<u4").tobytes())
+    got = {r["doc_id"]: r for r in registry.op7_token_files(spark, str(tmp_path)).collect()}
+    for k in texts:
+        want = [*ids[k], registry.FILE_END]
+        assert (got[k]["start"], got[k]["n_tokens"], got[k]["ids_crc32"]) == (start, len(want), crc(want))
+        start += len(want)
+    for packed in (registry.op9_packing(spark, str(tmp_path)),
+                   corpus_pipeline.packing_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))):
+        for r in packed.collect():
+            want = [*ids[r["doc_id"]], registry.PACK_END]
+            assert (r["doc_tokens"], r["ids_crc32"]) == (len(want), crc(want))
+
+
 def test_token_files_read_back_in_order(docs, empty):
     encoder = BpeEncoder.load(BPE)
     manifest = token_files.write(docs, encoder, 2, shards=4)
