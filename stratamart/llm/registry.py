@@ -61,7 +61,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents"), copies_once=True))
 
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

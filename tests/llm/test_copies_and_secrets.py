@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from stratamart.llm import secret_scan, simhash, winnowing
+import corpus_pipeline
+from stratamart.llm import registry, secret_scan, simhash, winnowing
 from stratamart.session import stage
 
 from . import brute
@@ -134,3 +135,23 @@ def test_many_spans_in_one_text(spark):
     row = scanned(frame(spark, [(1, text, "en", "a")])).first()
     assert row["n_hex"] == 1500
     assert row["base_sha256"] == brute.sha(",".join(f"hex:{a}:{b}" for a, _, b in brute.base_spans(text)))
+
+
+def test_copies_of_a_text_and_many_texts_of_an_owner_decide_the_verdict(spark, tmp_path):
+    """A token in a document copied to four owners is live; a value in many texts of one owner is an example."""
+    token, example = "ghp_Abcdefghijklmnopqrst012345", "password=abcdefabcdef1234567"
+    rows = [(i, f"mine {token} end", "en", f"s{i}", None) for i in range(4)]
+    rows += [(100 + i, f"text {i} {example}", "en", "hot", None) for i in range(secret_scan.REPOSITORIES + 1)]
+    rows += [(200 + i, f"part {i} glpat-Abcdefghijklmnopqrst0123", "en", f"s{i}", None) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_id(registry.op5_secret_scan(spark, str(tmp_path)).collect())
+    for i in range(4):  # the token is a mixed string too
+        assert (got[i]["spans"], got[i]["verdicts"]) == ("token:5:35,mixed:5:35", "live:1:1,live:1:1")
+    for i in range(secret_scan.REPOSITORIES + 1):
+        assert got[100 + i]["n_live_base"] == 0 and set(got[100 + i]["verdicts"].split(",")) == {f"example:1:{secret_scan.REPOSITORIES + 1}"}
+    for i in range(3):
+        assert got[200 + i]["spans"].startswith("token:7:") and set(got[200 + i]["verdicts"].split(",")) == {"example:3:3"}
+    masked = by_id(corpus_pipeline.secrets_stage(spark, docs, str(tmp_path)).collect())
+    assert masked[0]["text"] == masked[3]["text"] == "mine [SECRET] end"
+    assert masked[100]["text"] == f"text 0 {example}" and masked[200]["text"] == rows[-3][1]
