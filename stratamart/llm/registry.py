@@ -1,7 +1,7 @@
-"""The ten operators as queries over whole tables, with production parameters.
+"""The operators as queries over whole tables, with production parameters.
 
-None of them can be written as SQL for DuckDB: they need trained models, tokenizer files, XXH64 with a seed, or
-match positions. ``tests/llm`` holds brute-force versions.
+Only op13 can be written as SQL for DuckDB: the others need trained models, tokenizer files, XXH64 with a seed, CRC-32
+or match positions. ``tests/llm`` holds brute-force versions.
 """
 
 from __future__ import annotations
@@ -12,14 +12,17 @@ from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, packing, quality_classifier, quality_rules, secret_scan, simhash, token_files, toxicity, winnowing
+from . import byte_bpe, hard_negatives, language_id, packing, periodic_runs, quality_classifier, quality_rules
+from . import secret_scan, simhash, token_files, toxicity, winnowing
 from .bpe import BpeEncoder
-from .common import crc_mod
+from .byte_bpe import ByteBpe
+from .common import crc_mod, map_rows
 from .sentencepiece_codec import Codec, map_encoded
 
-PIECE_MODEL, BPE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
+PIECE_MODEL, BPE_MODEL, BPE_RANKS = "piece_bpe_32k.model", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 FILE_END, PACK_END = 2, 0
 
 
@@ -93,11 +96,89 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model)
 
 
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of an id that the query plants a period in, from a place and of a length that follow from the id."""
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    group, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if rest:
+        return words
+    first = group % n
+    period = 1 + (n - first) // (3 + group % 8)
+    unit = words[first:first + period]
+    return words[:first] + (unit * (-(-(n - first) // period)))[:n - first]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    names = ("start", "length", "period", "exponent_milli")
+
+    def run(batch) -> dict:
+        out = {n: [] for n in ("n_runs", *names, "runs_sha256", "collapsed_sha256")}
+        for words, runs in periodic_runs.scanned(batch, "doc_id", "text", planted_period):
+            best = periodic_runs.strongest(runs)
+            values = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+            listed = "".join(f"{start},{length},{period}\n" for start, length, period in runs.tolist())
+            row = (len(runs), *values, sha(listed.encode()), sha(periodic_runs.collapsed(words, runs)))
+            for column, value in zip(out.values(), row):
+                column.append(value)
+        numbers = {n: pa.array(out[n], pa.int64()) for n in ("n_runs", *names)}
+        return {"doc_id": batch.column("doc_id"), **numbers, "runs_sha256": out["runs_sha256"], "collapsed_sha256": out["collapsed_sha256"]}
+
+    return map_rows(table(spark, sf_dir, "documents"), ["doc_id", "text"], "doc_id long, n_runs long, start long, length long, "
+                    "period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string", run)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bpe = ByteBpe.load(public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+
+    def run(batch) -> dict:
+        found = [bpe.encode(t) for t in byte_bpe.texts(batch.column("text"))]
+        return {"doc_id": batch.column("doc_id"), "n_tokens": [len(ids) for ids in found],
+                "ids_sha256": [sha(bpe.digits(ids).encode()) for ids in found],
+                "decoded_sha256": [sha(bpe.decode(ids)) for ids in found]}
+
+    return map_rows(table(spark, sf_dir, "documents"), ["doc_id", "text"],
+                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", run)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.shifted_labels(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_sentencepiece, op2_quality_rules, op3_simhash, op4_toxicity, op5_secret_scan, op6_winnowing,
-             op7_token_files, op8_language_id, op9_packing, op10_quality_classifier]
+             op7_token_files, op8_language_id, op9_packing, op10_quality_classifier, op11_periodic_runs, op12_byte_bpe,
+             op13_hard_negatives]
     return {f.__name__: f for f in found}
 
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, a.label AS anchor_label, v.vec_id, v.label,
+           CAST(list_dot_product(a.vector, v.vector) AS BIGINT) AS score
+    FROM vectors a JOIN vectors v ON a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, s.vec_id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id
+WHERE s.label <> s.anchor_label AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER best <= 3
+WINDOW best AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_hard_negatives": HARD_NEGATIVES}
