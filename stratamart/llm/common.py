@@ -80,19 +80,24 @@ def crc_mod(key: str | Column, divisor: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % F.lit(divisor)
 
 
-def bounded_labels(labels: DataFrame, key: str, bound: int) -> DataFrame:
+def bounded_ids(rows: DataFrame, key: str, bound: int) -> DataFrame:
+    """At most ``bound`` different ids as ``_key``, chosen by a hash of the id; a repeated id counts once."""
+    return bounded_labels(rows.select(F.col(key).alias("_key")), "_key", bound, once=True)
+
+
+def bounded_labels(labels: DataFrame, key: str, bound: int, once: bool = False) -> DataFrame:
     """At most ``bound`` rows of ``labels``, chosen by a hash of the key, alike at every size.
 
     The threshold leaves about 1.2 times the bound, so that the sort sees a bounded input; the limit makes the
-    bound hard. Rows with a null key are left out; repeated keys count as often as they occur.
+    bound hard. Rows with a null key are left out; repeated keys count as often as they occur, or ``once`` after the threshold.
     """
     spread = 1 << 30
     labels = labels.filter(F.col(key).isNotNull())
     total = labels.count()
     place = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(spread))
     share = 1.0 if total == 0 else min(1.0, 1.2 * bound / total + 100.0 / total)
-    return (labels.withColumn("_place", place).filter(F.col("_place") < F.lit(int(share * spread)))
-            .orderBy("_place", key).limit(bound).drop("_place"))
+    chosen = labels.withColumn("_place", place).filter(F.col("_place") < F.lit(int(share * spread)))
+    return (chosen.dropDuplicates([key]) if once else chosen).orderBy("_place", key).limit(bound).drop("_place")
 
 
 def one_label(labels: DataFrame, key: str, *values: str) -> DataFrame:

@@ -41,9 +41,9 @@ def _tables(lower: bool, letters_only: bool) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class HashedText:
-    """``words``, word ``prefixes`` (in bytes) and character n-gram ``sizes`` (in bytes), ``2 ** bits`` slots each.
+    """``words``, word ``prefixes`` (in bytes) and n-gram ``sizes``, ``2 ** bits`` slots each.
 
-    ``echoes`` adds a channel of two slots in use: whether a word equals the one before it.
+    N-grams count bytes, or code points with ``characters``. ``echoes`` adds a channel of two slots in use: whether a word equals the one before it.
     """
 
     bits: int = 16
@@ -53,6 +53,7 @@ class HashedText:
     lower: bool = False
     letters_only: bool = False
     echoes: bool = False
+    characters: bool = False
     _cache: dict = field(default_factory=dict, repr=False, compare=False)
 
     @property
@@ -123,10 +124,18 @@ class HashedText:
                 long = start[end - start >= length]
                 slot = self._slot((total[long + length] - total[long]) * inverse[long], channel)
                 yield slot, np.searchsorted(long, at[:-1]), np.searchsorted(long, at[1:])
+        if self.characters:  # first bytes of code points
+            lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), n)
+            at = np.searchsorted(lead, at)
+            n = len(lead) - 1
         for size in self.sizes:
             channel += 1
             places = max(n - size + 1, 0)
-            slot = self._slot((total[size:size + places] - total[:places]) * inverse[:places], channel)
+            if self.characters:
+                start, end = lead[:places], lead[size:size + places]
+                slot = self._slot((total[end] - total[start]) * inverse[start], channel)
+            else:
+                slot = self._slot((total[size:size + places] - total[:places]) * inverse[:places], channel)
             lo = np.minimum(at[:-1], places)
             yield slot, lo, np.clip(at[1:] - size + 1, lo, places)
 

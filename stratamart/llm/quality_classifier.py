@@ -4,7 +4,7 @@ A text with score ``f`` has grade above ``k`` with probability ``sigmoid(f - thr
 the weights and the thresholds ascend. The expected grade is the sum of these tail probabilities.
 
 Grades are whole numbers from 0. Defined results: a null text counts as empty and gets the score of an empty
-text; an empty table gives no rows; repeated rows get equal results. With fewer than two grades among the
+text; an empty table gives no rows; repeated rows get equal results; of an id that repeats one text is learned from. With fewer than two grades among the
 labels every row gets that grade (or 0) and is kept. Other columns are never read.
 """
 

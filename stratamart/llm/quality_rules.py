@@ -1,8 +1,9 @@
 """Quality rules: base counts, and a calibrated logistic regression over hashed word and character n-grams.
 
 Defined results: a null or blank text has no words, so it fails the base rules and is not kept; ties and
-repeated rows are judged row by row; an empty table gives no rows. Without labels of both kinds the model is
-constant and the base rules decide alone. Columns other than the id and the text are never read.
+repeated rows are judged row by row; an empty table gives no rows. Of an id that repeats the text with the smallest
+hash is learned from. Without labels of both kinds the model is constant and the base rules decide alone. Columns other
+than the id and the text are never read. The model depends on the rows, not on how they lie in files.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_labels, filter_rows, map_rows, one_label, sigmoid, text_bytes
+from .common import bounded_labels, crc_mod, filter_rows, map_rows, one_label, sigmoid, text_bytes
 from .features import Adam, HashedText, Sparse
 
 # The base rules' symbols and bounds, and the probability from which a text is kept.
@@ -24,7 +25,7 @@ KEEP_AT = 0.35
 
 # Labelled rows that the model is fitted on; more labels are sampled down by a hash of the id.
 TRAIN_ROWS = 3000
-FEATURES = HashedText(bits=16, sizes=(4,))
+FEATURES = HashedText(bits=16, sizes=(4,), characters=True)
 SCALE = 30.0
 
 _SYMBOL_BYTES = bytes(c for c in range(256) if chr(c) not in SYMBOLS)
@@ -85,25 +86,43 @@ class QualityModel:
         return sigmoid(self.slope * self.features.mean_scores(data, offsets, self.weights) + self.offset)
 
 
-def labelled_features(docs: DataFrame, labels: DataFrame, values: list[str], features: HashedText, bound: int,
-                      id_col: str = "doc_id", text_col: str = "text", present: bool = False) -> list:
-    """Label values and hashed features of at most ``bound`` labelled documents.
+def first_texts(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``keys`` with the ``_text`` of each ``_key`` that a document has; of several the one with the smallest hash.
 
-    The sample is broadcast: it has at most ``bound`` rows of numbers. Labels given twice count once.
+    ``keys`` is a bounded sample and is broadcast. Each task keeps one text a key before the shuffle, so an id that repeats
+    without end gathers nowhere.
     """
-    sample = bounded_labels(one_label(labels, id_col, *values), id_col, bound)
-    names = [f"_label{i}" for i in range(len(values))]
-    keys = sample.select(F.col(id_col).alias("_key"), *[F.col(v).cast("double").alias(n) for v, n in zip(values, names)])
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    joined = rows.join(F.broadcast(keys), F.col("_id") == F.col("_key"))
+    found = rows.join(F.broadcast(keys), F.col("_id") == F.col("_key"))
+    first = found.groupBy(*keys.columns).agg(F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text")).alias("_first"))
+    return first.select(*keys.columns, F.col("_first._text").alias("_text"))
+
 
+def hashed(found: DataFrame, names: list[str], features: HashedText, present: bool = False) -> list:
+    """Per row of ``_key``, ``_text`` and the values ``names``: the values, slots, numbers and a fourth by the key's hash.
+
+    The order depends on the rows alone.
+    """
     def encode(batch: pa.RecordBatch) -> dict:
         pairs = list(features.sparse_rows(*text_bytes(batch.column("_text")), present=present))
         return {**{n: batch.column(n) for n in names}, "slots": [s.tobytes() for s, _ in pairs],
-                "values": [v.tobytes() for _, v in pairs]}
+                "values": [v.tobytes() for _, v in pairs], "fourth": batch.column("fourth")}
+
+    schema = ", ".join(f"{n} double" for n in names) + (", " if names else "") + "slots binary, values binary, fourth long"
+    rows = map_rows(found.withColumn("fourth", crc_mod("_key", 4)), [*names, "_text", "fourth"], schema, encode)
+    return sorted(rows.collect(), key=lambda r: (r["fourth"], r["slots"], r["values"], *r[:len(names)]))
 
-    schema = ", ".join(f"{n} double" for n in names) + ", slots binary, values binary"
-    return map_rows(joined, [*names, "_text"], schema, encode).collect()
+
+def labelled_features(docs: DataFrame, labels: DataFrame, values: list[str], features: HashedText, bound: int,
+                      id_col: str = "doc_id", text_col: str = "text", present: bool = False) -> list:
+    """Label values and hashed features of at most ``bound`` labelled documents, one of each labelled id (see ``hashed``).
+
+    Labels given twice count once.
+    """
+    sample = bounded_labels(one_label(labels, id_col, *values), id_col, bound)
+    names = [f"_label{i}" for i in range(len(values))]
+    keys = sample.select(F.col(id_col).alias("_key"), *[F.col(v).cast("double").alias(n) for v, n in zip(values, names)])
+    return hashed(first_texts(docs, keys, id_col, text_col), names, features, present)
 
 
 def fit_logistic(x: Sparse, y: np.ndarray, size: int, steps: int = 120, rate: float = 0.1, ridge: float = 1e-4):
@@ -118,27 +137,45 @@ def fit_logistic(x: Sparse, y: np.ndarray, size: int, steps: int = 120, rate: fl
     return weights[:-1], weights[-1]
 
 
-def calibrate(score: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through held-back scores (Newton steps on smoothed targets)."""
+def calibration_loss(line: np.ndarray, score: np.ndarray, target: np.ndarray) -> float:
+    value = line[0] * score + line[1]
+    return float((np.logaddexp(0, value) - target * value).mean())
+
+
+def calibrate(score: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through held-back scores, on smoothed targets.
+
+    Newton steps on scores of unit spread, each halved until the loss falls, so it never ends above the start (slope 1).
+    """
     up, down = y.sum(), (1 - y).sum()
     target = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
-    line = np.array([1.0, 0.0])
-    design = np.stack([score, np.ones_like(score)], 1)
+    spread = float(np.std(score)) or 1.0
+    score = score / spread
+    line, design = np.array([spread, 0.0]), np.stack([score, np.ones_like(score)], 1)
+    loss = calibration_loss(line, score, target)
     for _ in range(steps):
         p = sigmoid(design @ line)
-        curve = (design * (p * (1 - p) + 1e-9)[:, None]).T @ design + 1e-6 * np.eye(2)
-        line = line - np.clip(np.linalg.solve(curve, design.T @ (p - target)), -2, 2)
-    return float(line[0]), float(line[1])
+        curve = (design * (p * (1 - p))[:, None]).T @ design / len(score) + 1e-9 * np.eye(2)
+        step, share = np.linalg.solve(curve, design.T @ (p - target) / len(score)), 1.0
+        while share > 1e-12 and calibration_loss(line - share * step, score, target) >= loss:
+            share /= 2
+        if share <= 1e-12:
+            break
+        line = line - share * step
+        loss = calibration_loss(line, score, target)
+    return float(line[0] / spread), float(line[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", rows: int = TRAIN_ROWS) -> QualityModel:
-    """Fit on three of four sampled rows, calibrate on the fourth. Bounded by ``rows`` labelled documents."""
+    """Fit on three of four sampled rows by a hash of the id, calibrate on the fourth. Bounded by ``rows`` labelled documents."""
     found = labelled_features(docs, labels, [label_col], FEATURES, rows, id_col, text_col)
     y = np.array([r[0] for r in found])
     if len(y) < 8 or len(set(y)) < 2:
         return QualityModel(FEATURES, np.zeros(FEATURES.slots, np.float32), 0.0, 40.0)
-    back = np.arange(len(y)) % 4 == 3
+    back = np.array([r["fourth"] for r in found]) == 3
+    if len(set(y[~back])) < 2:
+        back[:] = False
     part = lambda mask: Sparse.of([(r[1], r[2]) for r, m in zip(found, mask) if m])
     x = part(~back)
     weights, bias = fit_logistic(x, y[~back], FEATURES.slots)

@@ -58,7 +58,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
-    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out), pool=docs.filter(~held_out))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", "predicted")
 
