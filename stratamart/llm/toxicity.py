@@ -87,15 +87,14 @@ def standing_out(positive: Sparse, unlabelled: Sparse, size: int, prior: float)
 def estimate_prior(positive: Sparse, unlabelled: Sparse, size: int) -> float:
     """Ratio of unlabelled texts to positives in the region of texts that look toxic where it is surely smallest, one standard error up.
 
-    A region is what holds some of the slots that speak most for toxicity, those of at least half the best surely known
-    ratio of shares; it has to hold ``REGION`` of the positives.
+    A region is the texts with at least so many of the slots that speak most for toxicity, those of at least half the best
+    surely known ratio of shares; it has to hold ``REGION`` of the positives.
     """
     error = lambda share, n: 2 * np.sqrt(np.maximum(share * (1 - share), 1 / n) / n)
     p, u = shares(positive, size), shares(unlabelled, size)
     ratio = (p - error(p, len(positive))) / (u + error(u, len(unlabelled)))
     telling = ratio >= max(ratio.max() / 2, 1)
-    weights = np.where(telling, np.log(np.maximum(ratio, 1)), 0)
-    held, seen = np.sort(positive.dot(weights)), np.sort(unlabelled.dot(weights))
+    held, seen = (np.sort(x.dot(telling.astype(float))) for x in (positive, unlabelled))
     cuts = np.unique(held)
     above = lambda x: (len(x) - np.searchsorted(x, cuts)) / len(x)
     region, found = above(held), above(seen)
