@@ -9,7 +9,7 @@ CHANGE_TYPE = "_change_type"
 IS_UPDATE = "_is_update"
 
 
-def _comparable(c: Column, data_type) -> Column:
+def comparable(c: Column, data_type) -> Column:
     return F.to_json(c) if isinstance(data_type, VariantType) else c
 
 
@@ -18,7 +18,7 @@ def any_differs(left: str, right: str, schema, columns: list[str]) -> Column:
     differs = F.lit(False)
     for name in columns:
         kind = schema[name].dataType
-        same = _comparable(F.col(f"{left}.{name}"), kind).eqNullSafe(_comparable(F.col(f"{right}.{name}"), kind))
+        same = comparable(F.col(f"{left}.{name}"), kind).eqNullSafe(comparable(F.col(f"{right}.{name}"), kind))
         differs = differs | ~same
     return differs
 

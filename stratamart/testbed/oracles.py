@@ -529,6 +529,40 @@ SELECT customer_id, first_name, customer_segment, 'DELETE' AS change_type, r_nam
 FROM raw_customers WHERE r_name IN ('EUROPE', 'AFRICA')
 UNION ALL
 SELECT customer_id, first_name, customer_segment, 'INSERT', r_name = 'EUROPE' FROM resent_customers""")
+    orders = """orders_typed AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice::DECIMAL(18,2) AS amount,
+                          o_orderdate::DATE AS order_date FROM orders)"""
+    q["cdc_checksum_tree"] = f"""
+WITH {orders}, marked AS (SELECT *, o_orderkey > (SELECT max(o_orderkey) - max(o_orderkey) // 100 FROM orders) AS late FROM orders_typed)
+SELECT o_orderkey, o_custkey, o_orderstatus, amount::DOUBLE AS amount, 'DELETE' AS change_type, o_orderkey % 5000 <> 17 AS is_update
+FROM marked WHERE o_orderkey % 5000 = 17 OR (late AND o_orderstatus <> 'X')
+UNION ALL
+SELECT o_orderkey, o_custkey, 'X', amount::DOUBLE, 'INSERT', TRUE FROM marked WHERE o_orderkey % 5000 <> 17 AND late AND o_orderstatus <> 'X'
+UNION ALL
+SELECT -o_orderkey, o_custkey, o_orderstatus, amount::DOUBLE, 'INSERT', FALSE FROM orders_typed WHERE o_orderkey % 5000 = 18"""
+    q["incremental_daily_sales"] = f"""
+WITH {orders}, now AS (
+    SELECT CASE WHEN o_orderkey % 14 = 0 THEN order_date + 1 ELSE order_date END AS order_date,
+           CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS customer,
+           CASE WHEN o_orderkey % 7 = 0 THEN amount + 1.5 ELSE amount END AS amount
+    FROM orders_typed WHERE o_orderkey % 11 <> 0)
+SELECT order_date, count(*) AS orders, count(DISTINCT customer) AS customers, sum(amount)::DOUBLE AS revenue,
+       sum(amount)::DOUBLE / count(amount) AS avg_order_value
+FROM now GROUP BY 1"""
+    q["distinct_customers_by_bitmap"] = f"""
+WITH {orders} SELECT strftime(order_date, '%Y-%m') AS period, count(DISTINCT o_custkey) AS customers FROM orders_typed GROUP BY 1
+UNION ALL SELECT strftime(order_date, '%Y'), count(DISTINCT o_custkey) FROM orders_typed GROUP BY 1"""
+    tiers = f"""{orders}, versions AS (
+    SELECT o_custkey, o_orderdate::DATE AS valid_from, o_orderpriority AS tier FROM orders WHERE o_orderkey % 3 = 0
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate::DATE ORDER BY o_orderkey DESC) = 1)"""
+    q["validity_intervals"] = f"""
+WITH {tiers}, opening AS (
+    SELECT * FROM versions QUALIFY lag(tier) OVER (PARTITION BY o_custkey ORDER BY valid_from) IS DISTINCT FROM tier)
+SELECT o_custkey, tier, valid_from,
+       coalesce(lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from), DATE '9999-12-31') AS valid_to FROM opening"""
+    q["fact_as_of_version"] = f"""
+WITH {tiers} SELECT o.o_orderkey, o.o_custkey, o.order_date, v.tier, v.valid_from
+FROM (SELECT * FROM orders_typed WHERE o_orderkey % 3 <> 0) o
+ASOF LEFT JOIN versions v ON o.o_custkey = v.o_custkey AND o.order_date >= v.valid_from"""
     q["cdc_append_only"] = build(f"""
 SELECT event_id, event_type, ts AS event_timestamp, {dbl('event_value')},
        CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END::BIGINT AS batch FROM events_text""")

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import MONEY
-from ..operators import audit, changes, flatten, ranking
+from ..operators import audit, bitmaps, changes, checksums, flatten, ranking, validity
+from ..operators.maintained import MaintainedView, signed
 from ..operators.merge import merge_into_path, merge_upsert, read_bucketed
 from ..operators.ordering import asc, desc
 from ..operators.scd2 import OPEN_END, scd2
@@ -491,6 +492,87 @@ def cdc_changes(spark, sf_dir):
         {"_change_type": "change_type", "_is_update": "is_update"})
 
 
+def _typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+        F.col("o_orderdate").cast("date").alias("order_date"))
+
+
+@query
+def cdc_checksum_tree(spark, sf_dir):
+    """Two snapshots of the orders: the last hundredth of the keys changed, a few orders removed and added."""
+    prev = stage(_typed_orders(spark, sf_dir).drop("order_date"), "snapshot")
+    newest = prev.agg(F.max("o_orderkey")).scalar()
+    late = F.col("o_orderkey") > newest - F.floor(newest / 100)
+    added = prev.where("o_orderkey % 5000 = 18").withColumn("o_orderkey", -F.col("o_orderkey"))
+    curr = (prev.where("o_orderkey % 5000 <> 17").withColumn("o_orderstatus", F.when(late, "X").otherwise(F.col("o_orderstatus")))
+            .unionByName(added))
+    found = checksums.changes_by_checksum(prev, stage(curr, "snapshot"), ["o_orderkey"])
+    return found.withColumnsRenamed({"_change_type": "change_type", "_is_update": "is_update"})
+
+
+DAILY_ORDERS = MaintainedView(("order_date",), {"revenue": "amount"}, {"customers": "o_custkey"})
+
+
+@query
+def incremental_daily_sales(spark, sf_dir):
+    """Daily orders, customers and revenue, stored once and then kept by changes: new, corrected, moved and deleted orders."""
+    orders = stage(_typed_orders(spark, sf_dir), "orders")
+    prev = orders.where(F.col("order_date") < F.lit(ORDERS_UNTIL))
+    sevenths, moved = F.col("o_orderkey") % 7 == 0, F.col("o_orderkey") % 14 == 0
+    curr = orders.where("o_orderkey % 11 <> 0").withColumns({
+        "amount": F.when(sevenths, F.col("amount") + F.lit(Decimal("1.50"))).otherwise(F.col("amount")).cast("decimal(18,2)"),
+        "o_custkey": F.when(sevenths, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")),
+        "order_date": F.when(moved, F.date_add("order_date", 1)).otherwise(F.col("order_date"))})
+    view, members = DAILY_ORDERS.build(prev)
+    view, members = stage(view, "view"), {n: stage(m, "members") for n, m in members.items()}
+    changed = stage(signed(changes.table_changes(prev, curr, ["o_orderkey"])), "changes")
+    kept, _ = DAILY_ORDERS.apply(view, members, changed)
+    return kept.select("order_date", F.col("row_count").alias("orders"), "customers", "revenue",
+                       (F.col("revenue").cast("double") / F.col("revenue_values")).alias("avg_order_value"))
+
+
+@query
+def distinct_customers_by_bitmap(spark, sf_dir):
+    """Customers per month and year from stored bitmaps per day."""
+    days = stage(bitmaps.distinct_bitmaps(_typed_orders(spark, sf_dir), ["order_date"], "o_custkey"), "bitmaps")
+    months = stage(bitmaps.roll_up(days, F.date_format("order_date", "yyyy-MM").alias("period")), "bitmaps")
+    years = bitmaps.roll_up(months, F.substring("period", 1, 4).alias("period"))
+    return bitmaps.distinct_counts(months, ["period"], "customers").unionByName(bitmaps.distinct_counts(years, ["period"], "customers"))
+
+
+def _tier_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders tells the customer's tier from its day on."""
+    orders = inputs.table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    return orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("valid_from"),
+                         F.col("o_orderpriority").alias("tier"), F.col("o_orderkey").alias("arrival"))
+
+
+def _delivered_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Versions after the first and the second delivery, which fills gaps of the first, and the second delivery."""
+    sent = _tier_versions(spark, sf_dir)
+    late = sent.where("o_custkey % 4 = 1 and arrival % 2 = 1")
+    early = sent.where("not (o_custkey % 4 = 1 and arrival % 2 = 1)")
+    first = stage(validity.merge_versions(None, early, "o_custkey", "arrival"), "versions")
+    return first, stage(validity.merge_versions(first, late, "o_custkey", "arrival"), "versions"), late
+
+
+@query
+def validity_intervals(spark, sf_dir):
+    """Intervals after two deliveries out of order; the second computes only its own customers again."""
+    first, both, late = _delivered_versions(spark, sf_dir)
+    stored = stage(validity.intervals(first, "o_custkey", ["tier"]), "intervals")
+    return validity.refresh_intervals(stored, both, late, "o_custkey", ["tier"])
+
+
+@query
+def fact_as_of_version(spark, sf_dir):
+    """The other orders with the customer's tier on their day."""
+    _, versions, _ = _delivered_versions(spark, sf_dir)
+    sales = _typed_orders(spark, sf_dir).where("o_orderkey % 3 <> 0").select("o_orderkey", "o_custkey", "order_date")
+    return validity.as_of_join(sales, versions, "o_custkey", "order_date", ["tier"])
+
+
 def _event_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     typed = load.RAW_EVENTS.with_extracted(inputs.raw_events(spark, sf_dir))
     middle = F.col("event_timestamp") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
