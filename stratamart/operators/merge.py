@@ -1,23 +1,19 @@
 """Keyed upsert: update matched rows, insert the others.
 
-A stored table is kept in hash buckets. Files are never changed: a merge writes the buckets it touches below a new
-version name and then appends one small file to the table's log, which is the only switch. The log says which
-version holds which bucket, and keeps the bucket count, the key columns with their types and the highest surrogate
-key. A merge that fails before the switch leaves the table as it was. One writer at a time is assumed.
+A stored table is a folder with one Parquet folder per run: ``full-<n>`` holds the whole table after an updating merge,
+``add-<n>`` only the new rows of an insert-only one. A folder counts once Spark has put its ``_SUCCESS`` file there, so
+a merge that fails leaves the table as it was and is simply run again. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
-from ..session import path_exists, remove_path
-from .ranking import dense_number, stage_numbered
+from ..session import matching_paths, path_exists, remove_path
 
 ACTION = "_merge_action"
-BUCKET = "_bucket"
 
 
 def latest_by_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -80,7 +76,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], update_c
 class MergeCounts:
     inserted: int
     updated: int
-    #: rows without a whole key of the table's types, kept below ``unkeyed``
+    #: rows without a whole key of the table's types, kept in the run's folder below ``unkeyed``
     unkeyed: int = 0
 
     def message(self, what: str) -> str:
@@ -91,173 +87,90 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-LOG = "commit long, bucket int, version string, replaces boolean, buckets int, keys array<string>, kinds array<string>, top long"
+def _finished_runs(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and name of every run folder that was written to its end, oldest first."""
+    names = [p.rsplit("/", 2)[1] for p in matching_paths(spark, f"{path}/*-*/_SUCCESS")]
+    return sorted((int(name.split("-")[1]), name) for name in names)
 
 
-@dataclass
-class TableState:
-    """What the log says. One entry per bucket and version, so its size does not depend on the rows."""
+def _current(runs: list[tuple[int, str]]) -> list[str]:
+    """The newest whole table and what was added to it since."""
+    start = max((i for i, (_, name) in enumerate(runs) if name.startswith("full-")), default=0)
+    return [name for _, name in runs[start:]]
 
-    commit: int
-    buckets: int
-    keys: list[str]
-    kinds: list[str]
-    top: int
-    versions: dict[int, list[str]] = field(default_factory=dict)
 
-    def folders(self, path: str, buckets: list[int] | None = None) -> list[str]:
-        chosen = self.versions if buckets is None else [b for b in buckets if b in self.versions]
-        return [f"{path}/data/{version}/{BUCKET}={b}" for b in chosen for version in self.versions[b]]
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table after its last finished merge; a Parquet folder without runs is read as it is."""
+    names = _current(_finished_runs(spark, path))
+    return spark.read.parquet(*(f"{path}/{name}" for name in names)) if names else spark.read.parquet(path)
 
 
-def table_state(spark: SparkSession, path: str) -> TableState | None:
-    """The table at its last commit, or None before the first."""
-    if not table_exists(spark, f"{path}/log"):
-        return None
-    state = None
-    for row in sorted(spark.read.schema(LOG).json(f"{path}/log").collect(), key=lambda r: r["commit"]):
-        if state is None:
-            state = TableState(0, row["buckets"], row["keys"], row["kinds"], 0)
-        state.commit, state.top = row["commit"], max(state.top, row["top"])
-        if row["bucket"] is not None:
-            kept = [] if row["replaces"] else state.versions.get(row["bucket"], [])
-            state.versions[row["bucket"]] = [*kept, row["version"]]
-    return state
-
-
-def _commit(spark: SparkSession, path: str, state: TableState, version: str, buckets: list[int], replaces: bool) -> None:
-    """One file, visible at once: from here on readers see the new version."""
-    rows = [(state.commit + 1, b, version, replaces, state.buckets, state.keys, state.kinds, state.top)
-            for b in (buckets or [None])]
-    spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").json(f"{path}/log")
-
-
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """The table at its last commit; a plain Parquet folder without a log is read as it is."""
-    state = table_state(spark, path)
-    if state is None:
-        return spark.read.parquet(path)
-    return spark.read.parquet(*state.folders(path))
-
-
-def remove_old_versions(spark: SparkSession, path: str) -> int:
-    """Delete versions that no bucket uses any more; for times when nobody reads an older state."""
-    state = table_state(spark, path)
-    if state is None:
-        return 0
-    used = {v for versions in state.versions.values() for v in versions}
-    known = {r["version"] for r in spark.read.schema(LOG).json(f"{path}/log").select("version").distinct().collect()}
-    old = [v for v in known - used if v]
-    for version in old:
-        remove_path(spark, f"{path}/data/{version}")
-    return len(old)
-
-
-def _write_version(df: DataFrame, path: str, version: str, cluster_by: list[str] | None) -> None:
+def _write_run(df: DataFrame, path: str, name: str, cluster_by: list[str] | None) -> None:
     """Rows are sorted by the cluster columns inside each file, so filters on them skip row groups."""
-    (
-        df.hint("rebalance", BUCKET)
-        .sortWithinPartitions(BUCKET, *(cluster_by or []))
-        .write.partitionBy(BUCKET).parquet(f"{path}/data/{version}")
-    )
-
-
-def _written_buckets(spark: SparkSession, path: str, version: str, within: list[int]) -> list[int]:
-    return [b for b in within if table_exists(spark, f"{path}/data/{version}/{BUCKET}={b}")]
-
-
-_OWN = "_without_key"
+    ordered = df.sortWithinPartitions(*cluster_by) if cluster_by else df
+    ordered.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols: list[str],
                     insert_cols: list[str] | None = None, on_update: dict[str, Column] | None = None,
                     on_insert: dict[str, Column] | None = None, order_by: list[str] | None = None,
-                    surrogate: str | None = None, buckets: int = 16,
-                    cluster_by: list[str] | None = None) -> MergeCounts:
-    """Merge into a stored table of hash buckets.
-
-    ``buckets`` counts only when the table is made; later merges use the count in its log, and other key columns
-    than the stored ones are refused. Source keys are cast to the stored types before they are hashed. Rows without
-    a whole key (or with one that cannot be cast) are kept below ``unkeyed`` and counted. Only buckets that hold a
-    source key are read and written again; with nothing to update, only their keys are read and new rows go to
-    a version of their own. Choose ``buckets`` so that one bucket is a few GB.
+                    surrogate: str | None = None, cluster_by: list[str] | None = None) -> MergeCounts:
+    """Merge into a stored table; the first merge makes it.
+
+    Source keys are cast to the stored types. Rows without a whole key (or with one that cannot be cast) are kept
+    below ``unkeyed`` and counted. An updating merge is one join and one write of the whole table; folders older than
+    the state it read are deleted. With nothing to update, only stored keys are read and only new rows are written.
+    The surrogate key grows from run to run with gaps: it is given in the task that writes the row, as the task's own
+    range plus the place there.
     """
     spark = source.sparkSession
-    state = table_state(spark, path)
-    kinds = [source.schema[k].dataType.simpleString() for k in keys] if state is None else state.kinds
-    if state is None:
-        state = TableState(0, buckets, list(keys), kinds, 0)
-        made = True
-    else:
-        made = False
-        if state.keys != list(keys):
-            raise ValueError(f"{path} is keyed by {state.keys}, not {list(keys)}")
-    columns = source.columns
-    source = source.withColumns({k: F.col(k).try_cast(kind) for k, kind in zip(keys, kinds)
-                                 if source.schema[k].dataType.simpleString() != kind})
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    # A row without key is a key of its own, so such rows neither gather nor displace each other.
-    source = source.withColumn(_OWN, F.when(missing, F.monotonically_increasing_id()))
-    if order_by:
-        source = latest_by_key(source, [*keys, _OWN], order_by)
+    runs = _finished_runs(spark, path)
+    target = read_table(spark, path) if runs else None
+    if target is not None:
+        if absent := [k for k in keys if k not in target.columns]:
+            raise ValueError(f"{path} has no key columns {absent}")
+        kinds = {k: target.schema[k].dataType for k in keys}
+        source = source.withColumns({k: F.col(k).try_cast(kind) for k, kind in kinds.items()
+                                     if source.schema[k].dataType != kind})
+    number = runs[-1][0] + 1 if runs else 1
+    columns, on_update, on_insert = source.columns, on_update or {}, on_insert or {}
     insert_cols = insert_cols or columns
-    on_insert = on_insert or {}
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(state.buckets)).cast("int")
-    seen = Observation()
-    counted = source.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(_OWN).alias("unkeyed"),
-                             F.collect_set(F.when(F.col(_OWN).isNull(), bucket)).alias("touched"))
-    numbered = stage_numbered(counted, "merge-source")
-    # At most ``buckets`` numbers.
-    total, unkeyed, touched = seen.get["rows"], seen.get["unkeyed"], sorted(seen.get["touched"])
-    if unkeyed:
-        numbered.where(F.col(_OWN).isNotNull()).select(
-            *[F.col(c).cast("string").alias(c) if c in keys else F.col(c) for c in columns]
-        ).write.mode("append").parquet(f"{path}/unkeyed")
-    start = state.top
-    version = f"{state.commit + 1:08d}-{uuid.uuid4().hex}"
-
-    def new_rows() -> DataFrame:
-        """Source rows as they are inserted; the surrogate key counts on in arrival order, with gaps where a
-        source row has no key or turns out to be an update."""
-        rows = dense_number(numbered, start).withColumnRenamed("_number", surrogate) if surrogate else numbered
-        chosen = [surrogate, *insert_cols] if surrogate else insert_cols
-        return rows.where(F.col(_OWN).isNull()).select(*dict.fromkeys([*chosen, *update_cols])).withColumns(on_insert)
+    whole_key = F.lit(True)
+    for k in keys:
+        whole_key = whole_key & F.col(k).isNotNull()
 
+    # Below the run's number: a run that is repeated writes them over its own.
+    odd, written = Observation(), Observation()
+    (
+        source.where(~whole_key).observe(odd, F.count(F.lit(1)).alias("rows"))
+        .select(*(F.col(c).cast("string").alias(c) if c in keys else F.col(c) for c in columns))
+        .write.mode("overwrite").parquet(f"{path}/unkeyed/run={number}")
+    )
+    unkeyed = odd.get["rows"]
+    source = source.where(whole_key)
+    if order_by:
+        source = latest_by_key(source, keys, order_by)
     if surrogate:
-        state.top += total
-    if made:
-        added = total - unkeyed
-        inserted = [*([surrogate] if surrogate else []), *insert_cols, *(c for c in on_insert if c not in insert_cols)]
-        _write_version(new_rows().select(*inserted).withColumn(BUCKET, bucket), path, version, cluster_by)
-        if not touched:  # an empty table needs a folder with its columns
-            touched = [0]
-            new_rows().select(*inserted).write.mode("overwrite").parquet(f"{path}/data/{version}/{BUCKET}=0")
-        _commit(spark, path, state, version, touched, True)
-        return MergeCounts(added, 0, unkeyed)
-    if not touched:
-        return MergeCounts(0, 0, unkeyed)
-    whole = spark.read.parquet(*state.folders(path)).schema
-    target = spark.read.schema(whole).parquet(*state.folders(path, touched)) if state.folders(path, touched) else \
-        spark.createDataFrame([], whole)
-
-    if not update_cols and not on_update:
-        fresh = new_rows().join(target.select(*keys), keys, "left_anti").select(*target.columns)
-        _write_version(fresh.withColumn(BUCKET, bucket), path, version, cluster_by)
-        filled = _written_buckets(spark, path, version, touched)
-        if not filled:
-            return MergeCounts(0, 0, unkeyed)
-        _commit(spark, path, state, version, filled, False)
-        # File footers hold the count.
-        return MergeCounts(spark.read.parquet(f"{path}/data/{version}").count(), 0, unkeyed)
-
-    written = Observation()
-    inserts = [surrogate, *insert_cols] if surrogate else insert_cols
-    merged = merge_upsert(target, new_rows(), keys, update_cols, [c for c in inserts if c in target.columns],
-                          on_update, on_insert, with_action=True)
-    merged = merged.observe(written, F.count_if(F.col(ACTION) == "inserted").alias("inserted"),
-                            F.count_if(F.col(ACTION) == "updated").alias("updated"))
-    _write_version(merged.withColumn(BUCKET, bucket).drop(ACTION), path, version, cluster_by)
-    _commit(spark, path, state, version, touched, True)
-    return MergeCounts(written.get["inserted"], written.get["updated"], unkeyed)
+        top = target.agg(F.max(surrogate)).scalar() if target is not None else F.lit(0)
+        on_insert = {surrogate: F.coalesce(top, F.lit(0)) + F.monotonically_increasing_id() + 1, **on_insert}
+
+    if target is not None and (update_cols or on_update):
+        merged = merge_upsert(target, source, keys, update_cols, [c for c in insert_cols if c in target.columns],
+                              on_update, on_insert, with_action=True)
+        merged = merged.observe(written, F.count_if(F.col(ACTION) == "inserted").alias("inserted"),
+                                F.count_if(F.col(ACTION) == "updated").alias("updated"))
+        _write_run(merged.drop(ACTION), path, f"full-{number:08d}", cluster_by)
+        for _, name in runs:
+            if name not in _current(runs):
+                remove_path(spark, f"{path}/{name}")
+        return MergeCounts(written.get["inserted"], written.get["updated"], unkeyed)
+
+    fresh = source if target is None else source.join(target.select(*keys), keys, "left_anti")
+    lead = [surrogate] if surrogate else []
+    fresh = fresh.select(*insert_cols).withColumns(on_insert).select(
+        *lead, *insert_cols, *(c for c in on_insert if c not in (*lead, *insert_cols)))
+    if target is not None:
+        fresh = fresh.select(*target.columns)
+    kind = "full" if target is None else "add"
+    _write_run(fresh.observe(written, F.count(F.lit(1)).alias("inserted")), path, f"{kind}-{number:08d}", cluster_by)
+    return MergeCounts(written.get["inserted"], 0, unkeyed)

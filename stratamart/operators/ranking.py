@@ -51,11 +51,6 @@ def with_row_index(df: DataFrame, keys: list[SortKey], out: str, start: int = 0,
     return dense_number(ordered_slices(df, keys, slices), start).withColumnRenamed("_number", out)
 
 
-def stage_numbered(df: DataFrame, label: str = "numbered") -> DataFrame:
-    """``df`` written once with ``_slice`` and 0-based ``_pos`` in arrival order: no sort, no shuffle."""
-    return _split_id(stage(df.withColumn("_id", F.monotonically_increasing_id()), label))
-
-
 def dense_number(numbered: DataFrame, start: int = 0) -> DataFrame:
     """``_number``: ``start + 1 ..`` over the slices of a numbered table."""
     # One row per written slice, so the offsets are a safe broadcast.

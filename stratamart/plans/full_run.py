@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.merge import MergeCounts, merge_into_path, read_bucketed, table_exists
+from ..operators.merge import MergeCounts, merge_into_path, read_table, table_exists
 from ..operators.scd2 import OPEN_END
 from ..schemas import LINEAGE_COLUMNS, RUN_LOG
 from ..sources.load import (
@@ -24,7 +24,6 @@ class Warehouse:
     """Paths of the layers below one root."""
 
     root: str
-    buckets: int = 16
 
     @property
     def bronze(self) -> str:
@@ -34,7 +33,7 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
-        return read_bucketed(spark, self.table(layer, name))
+        return read_table(spark, self.table(layer, name))
 
 
 def _clock() -> dt.datetime:
@@ -54,8 +53,7 @@ def _silver_merge(house: Warehouse, name: str, source: DataFrame, key: str, surr
     return merge_into_path(
         house.table("silver", name), source, [key], update_cols,
         on_update={"silver_update_ts": stamp}, on_insert=defaults,
-        order_by=["bronze_load_ts", "source_record_id"], surrogate=surrogate, buckets=house.buckets,
-        cluster_by=cluster_by,
+        order_by=["bronze_load_ts", "source_record_id"], surrogate=surrogate, cluster_by=cluster_by,
     )
 
 
@@ -87,7 +85,7 @@ def append_order_items(house: Warehouse, raw: DataFrame, as_of: dt.date, now: dt
     return merge_into_path(
         house.table("silver", "order_items"), rows, ["order_id", "line_number"], [],
         on_insert={"silver_load_ts": stamp, "silver_update_ts": stamp}, surrogate="order_item_sk",
-        buckets=house.buckets, cluster_by=["order_id"],
+        cluster_by=["order_id"],
     )
 
 
@@ -127,7 +125,7 @@ def merge_events(house: Warehouse, raw: DataFrame, as_of: dt.date, now: dt.datet
     """Insert-only: an event sent again, also in a later batch or under another file name, is not added."""
     return merge_into_path(
         house.table("silver", "events"), silver.silver_events(raw), ["event_id"], [],
-        on_insert={"silver_load_ts": _stamp(now)}, surrogate="event_sk", buckets=house.buckets,
+        on_insert={"silver_load_ts": _stamp(now)}, surrogate="event_sk",
         cluster_by=["event_date", "event_type"],
     )
 
@@ -161,7 +159,7 @@ def populate_dim_customer(spark: SparkSession, house: Warehouse, as_of: dt.date,
     return merge_into_path(
         house.table("gold", "dim_customer"), dims.dim_customer(changed),
         ["customer_id"], dims.CUSTOMER_UPDATE_COLUMNS, on_update={"updated_ts": _stamp(now)},
-        on_insert=_dim_defaults(as_of, now), buckets=house.buckets,
+        on_insert=_dim_defaults(as_of, now),
     )
 
 
@@ -172,7 +170,7 @@ def populate_dim_product(spark: SparkSession, house: Warehouse, as_of: dt.date,
     return merge_into_path(
         house.table("gold", "dim_product"), dims.dim_product(changed),
         ["product_id"], dims.PRODUCT_UPDATE_COLUMNS, on_update={"updated_ts": _stamp(now)},
-        on_insert=_dim_defaults(as_of, now), buckets=house.buckets,
+        on_insert=_dim_defaults(as_of, now),
     )
 
 
@@ -181,7 +179,7 @@ def populate_dim_geography(spark: SparkSession, house: Warehouse, since: dt.date
     places = dims.geography_attributes(changed)
     return merge_into_path(
         house.table("gold", "dim_geography"), places, ["city", "state", "country"], [],
-        surrogate="geography_sk", buckets=house.buckets,
+        surrogate="geography_sk",
     )
 
 
@@ -198,7 +196,7 @@ def populate_fact_sales(spark: SparkSession, house: Warehouse, since: dt.datetim
     return merge_into_path(
         house.table("gold", "fact_sales"), rows, ["order_id"], facts.SALES_UPDATE_COLUMNS,
         on_update={"etl_load_ts": _stamp(now)}, on_insert={"etl_load_ts": _stamp(now)},
-        surrogate="sales_sk", buckets=house.buckets, cluster_by=["date_sk"],
+        surrogate="sales_sk", cluster_by=["date_sk"],
     )
 
 
@@ -210,7 +208,7 @@ def populate_fact_sales_items(spark: SparkSession, house: Warehouse,
         items, house.read(spark, "gold", "fact_sales"), house.read(spark, "gold", "dim_product"))
     return merge_into_path(
         house.table("gold", "fact_sales_items"), rows, ["order_id", "line_number"], [],
-        on_insert={"etl_load_ts": _stamp(now)}, surrogate="sales_item_sk", buckets=house.buckets,
+        on_insert={"etl_load_ts": _stamp(now)}, surrogate="sales_item_sk",
         cluster_by=["date_sk", "product_sk"],
     )
 
@@ -223,7 +221,7 @@ def populate_daily_sales(spark: SparkSession, house: Warehouse, as_of: dt.date,
     rows = facts.fact_daily_sales(house.read(spark, "silver", "orders"), first, end or facts.previous_day(as_of))
     return merge_into_path(
         house.table("gold", "fact_daily_sales"), rows, ["date_sk"], facts.DAILY_UPDATE_COLUMNS,
-        on_update={"etl_load_ts": _stamp(now)}, on_insert={"etl_load_ts": _stamp(now)}, buckets=1,
+        on_update={"etl_load_ts": _stamp(now)}, on_insert={"etl_load_ts": _stamp(now)},
     )
 
 
@@ -258,15 +256,14 @@ def _logged(spark: SparkSession, house: Warehouse, layer: str, name: str, step:
 
 
 def run_layers(spark: SparkSession, landing: str, root: str, as_of: dt.date, start: dt.date | None = None,
-               end: dt.date | None = None, buckets: int = 16,
-               order_format: FileFormat = RAW_ORDERS.fmt, since: dt.datetime | None = None,
-               files_per_batch: int | None = None) -> dict[str, dict]:
+               end: dt.date | None = None, order_format: FileFormat = RAW_ORDERS.fmt,
+               since: dt.datetime | None = None, files_per_batch: int | None = None) -> dict[str, dict]:
     """Bronze, silver, gold. A second run with no new files changes nothing.
 
     ``since`` (the start of the last run) limits gold to silver rows written from then on. ``files_per_batch``
     bounds what one load or merge takes, whatever the backlog.
     """
-    house = Warehouse(root, buckets)
+    house = Warehouse(root)
     return {
         "bronze": _logged(spark, house, "bronze", "load_all_raw",
                           lambda: load_all_raw(spark, landing, house.bronze, order_format, files_per_batch)),

@@ -67,6 +67,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(folder)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, from one call to the store."""
+    folder, store = _folder(spark, pattern)
+    return [str(found.getPath()) for found in store.globStatus(folder) or []]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     folder, store = _folder(spark, path)
     store.delete(folder, True)

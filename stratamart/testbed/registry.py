@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import MONEY
 from ..operators import audit, bitmaps, changes, checksums, flatten, ranking, validity
 from ..operators.maintained import MaintainedView, signed
-from ..operators.merge import merge_into_path, merge_upsert, read_bucketed
+from ..operators.merge import merge_into_path, merge_upsert, read_table
 from ..operators.ordering import asc, desc
 from ..operators.scd2 import OPEN_END, scd2
 from ..plans import dims, facts, full_run, silver, views
@@ -332,7 +332,7 @@ def _merged(spark: SparkSession, name: str, deliveries: tuple[DataFrame, ...], k
     path = scratch_path(spark, name)
     for delivery in deliveries:
         merge_into_path(path, delivery, keys, update, **options)
-    return read_bucketed(spark, path)
+    return read_table(spark, path)
 
 
 @query
@@ -433,7 +433,7 @@ def merge_daily_sales(spark, sf_dir):
     first = facts.fact_daily_sales(orders, end=dt.date(1999, 12, 31)).withColumn("new_customers", F.lit(7).cast("long"))
     grown = orders.withColumn("total_amount", (F.col("total_amount") + 10).cast(MONEY))
     second = facts.fact_daily_sales(grown, start=ORDERS_FROM)
-    merged = _merged(spark, "daily", (first, second), ["date_sk"], facts.DAILY_UPDATE_COLUMNS, buckets=1)
+    merged = _merged(spark, "daily", (first, second), ["date_sk"], facts.DAILY_UPDATE_COLUMNS)
     return merged.select("date_sk", "snapshot_date", "new_customers", "total_orders", "net_revenue", "avg_order_value")
 
 
@@ -799,10 +799,10 @@ def land_all(spark: SparkSession, sf_dir: str) -> str:
 
 
 def run_all(spark: SparkSession, sf_dir: str) -> full_run.Warehouse:
-    house = full_run.Warehouse(scratch_path(spark, "warehouse"), buckets=8)
+    house = full_run.Warehouse(scratch_path(spark, "warehouse"))
     first, last = inputs.calendar_bounds(spark, sf_dir)
     full_run.run_layers(spark, land_all(spark, sf_dir), house.root, AS_OF, dt.date.fromisoformat(first),
-                        dt.date.fromisoformat(last), house.buckets, order_format=scan.JSON_LINES)
+                        dt.date.fromisoformat(last), order_format=scan.JSON_LINES)
     full_run.populate_dim_date(spark, house, first, last)
     return house
 

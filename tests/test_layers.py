@@ -152,7 +152,7 @@ def test_events_without_id_are_set_aside_and_replays_add_nothing(spark, tmp_path
     raw = raw_orders(spark, {"event_id": "E1", "event_type": "view", "event_timestamp": "2025-03-14T09:00:00"},
                      {"event_type": "view"}, {"event_type": "click"}, {"event_id": "E1", "event_type": "again"})
     raw = raw.withColumns({"record_id": F.monotonically_increasing_id(), "load_timestamp": F.lit(AS_OF).cast("timestamp_ntz")})
-    house = full_run.Warehouse(str(tmp_path / "house"), buckets=2)
+    house = full_run.Warehouse(str(tmp_path / "house"))
     first = full_run.merge_events(house, raw, AS_OF, dt.datetime(2025, 3, 15))
     assert (first.inserted, first.unkeyed) == (1, 2)
     again = full_run.merge_events(house, raw, AS_OF, dt.datetime(2025, 3, 16))
@@ -313,12 +313,12 @@ def test_run_layers_twice_and_with_a_resent_order(spark, tmp_path, rows):
     root, day = str(tmp_path / "house"), dt.date(2025, 3, 15)
 
     def run(since=None):
-        return full_run.run_layers(spark, str(landing), root, AS_OF, day, day, buckets=2, since=since)
+        return full_run.run_layers(spark, str(landing), root, AS_OF, day, day, since=since)
 
     done = run()
     assert done["silver"] == {"customers": 1, "products": 1, "orders": 1, "order_items": 1}
     assert done["gold"]["fact_sales_items"].inserted == 3
-    house = full_run.Warehouse(root, 2)
+    house = full_run.Warehouse(root)
 
     def state():
         return {

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from stratamart.operators import changes, merge, ranking
-from stratamart.operators.merge import latest_by_key, merge_into_path, merge_upsert, read_bucketed
+from stratamart.operators.merge import latest_by_key, merge_into_path, merge_upsert, read_table
 from stratamart.operators.ordering import asc, desc
 from stratamart.operators.scd2 import OPEN_END, scd2
 
@@ -59,14 +59,14 @@ def test_merge_into_path(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     stamp = {"ts": F.lit("one")}
     first = frame(spark, [(f"k{i}", "t", i, 0) for i in range(40)], SCHEMA)
-    counts = merge_into_path(path, first, ["id"], ["price"], on_insert=stamp, surrogate="sk", buckets=4)
+    counts = merge_into_path(path, first, ["id"], ["price"], on_insert=stamp, surrogate="sk")
     assert (counts.inserted, counts.updated) == (40, 0)
     second = frame(spark, [("k1", "s", 100, 1), ("k1", "s", 101, 2), ("n1", "s", 7, 1)], SCHEMA)
     for expected in ((1, 1), (0, 2)):
         counts = merge_into_path(path, second, ["id"], ["price"], on_update={"ts": F.lit("two")},
-                                 on_insert=stamp, order_by=["seq"], surrogate="sk", buckets=4)
+                                 on_insert=stamp, order_by=["seq"], surrogate="sk")
         assert (counts.inserted, counts.updated) == expected
-    table = read_bucketed(spark, path)
+    table = read_table(spark, path)
     assert table.count() == 41
     assert table.select("sk").distinct().count() == 41
     assert rows(table.where("id in ('k1', 'n1', 'k2')"), "id", "name", "price", "ts") == [
@@ -76,65 +76,76 @@ def test_merge_into_path(spark, tmp_path, rows):
 def test_insert_only_merge_appends(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     schema = "o string, line int, v int"
-    merge_into_path(path, frame(spark, [("a", 1, 1), ("a", 2, 2)], schema), ["o", "line"], [], surrogate="sk", buckets=2)
+    merge_into_path(path, frame(spark, [("a", 1, 1), ("a", 2, 2)], schema), ["o", "line"], [], surrogate="sk")
     again = frame(spark, [("a", 2, 99), ("b", 1, 3)], schema)
-    assert merge_into_path(path, again, ["o", "line"], [], surrogate="sk", buckets=2).inserted == 1
-    assert merge_into_path(path, again, ["o", "line"], [], surrogate="sk", buckets=2).inserted == 0
-    table = read_bucketed(spark, path)
+    assert merge_into_path(path, again, ["o", "line"], [], surrogate="sk").inserted == 1
+    assert merge_into_path(path, again, ["o", "line"], [], surrogate="sk").inserted == 0
+    table = read_table(spark, path)
     assert rows(table, "o", "line", "v") == [("a", 1, 1), ("a", 2, 2), ("b", 1, 3)]
     assert table.select("sk").distinct().count() == 3
 
 
 def test_source_keys_take_the_tables_types(spark, tmp_path):
     path = str(tmp_path / "t")
-    merge_into_path(path, frame(spark, [(i, i) for i in range(20)], "id long, v int"), ["id"], ["v"], buckets=4)
+    merge_into_path(path, frame(spark, [(i, i) for i in range(20)], "id long, v int"), ["id"], ["v"])
     again = frame(spark, [("3", 100), ("7", 100), ("50", 100), ("x", 1)], "id string, v int")
     counts = merge_into_path(path, again, ["id"], ["v"])
     assert (counts.inserted, counts.updated, counts.unkeyed) == (1, 2, 1)
-    table = read_bucketed(spark, path)
+    table = read_table(spark, path)
     assert sorted(tuple(r) for r in table.collect()) == sorted(
         [(i, 100 if i in (3, 7) else i) for i in range(20)] + [(50, 100)])
     assert dict(table.dtypes)["id"] == "bigint"
 
 
-def test_bucket_count_and_keys_are_the_tables_own(spark, tmp_path):
+def test_keys_are_the_tables_own(spark, tmp_path):
     path = str(tmp_path / "t")
     rows_in = frame(spark, [(i, i) for i in range(20)], "id long, v int")
-    merge_into_path(path, rows_in, ["id"], ["v"], buckets=4)
-    counts = merge_into_path(path, frame(spark, [(i, -1) for i in range(15, 22)], "id long, v int"), ["id"], ["v"], buckets=16)
+    merge_into_path(path, rows_in, ["id"], ["v"])
+    counts = merge_into_path(path, frame(spark, [(i, -1) for i in range(15, 22)], "id long, v int"), ["id"], ["v"])
     assert (counts.inserted, counts.updated) == (2, 5)
-    table = read_bucketed(spark, path)
+    table = read_table(spark, path)
     assert table.count() == table.select("id").distinct().count() == 22
-    assert merge.table_state(spark, path).buckets == 4
-    with pytest.raises(ValueError, match="keyed by"):
-        merge_into_path(path, rows_in, ["v"], [])
+    with pytest.raises(ValueError, match="no key columns"):
+        merge_into_path(path, rows_in.withColumnRenamed("id", "other"), ["other"], [])
 
 
-def test_a_merge_that_fails_before_the_switch_changes_nothing(spark, tmp_path, monkeypatch, rows):
+def test_a_merge_that_fails_leaves_the_table_and_can_be_repeated(spark, tmp_path, rows):
     path = str(tmp_path / "t")
-    merge_into_path(path, frame(spark, [(i, i) for i in range(20)], "id long, v int"), ["id"], ["v"], buckets=4)
-    before = rows(read_bucketed(spark, path))
-
-    def broken(*_):
-        raise RuntimeError("lost")
-
-    second = frame(spark, [(i, -1) for i in range(10, 30)], "id long, v int")
-    with monkeypatch.context() as patched:
-        patched.setattr(merge, "_commit", broken)
-        with pytest.raises(RuntimeError):
-            merge_into_path(path, second, ["id"], ["v"])
-    assert rows(read_bucketed(spark, path)) == before
-    assert merge_into_path(path, second, ["id"], ["v"]).updated == 10
-    assert merge.remove_old_versions(spark, path) == 0 or read_bucketed(spark, path).count() == 30
+    merge_into_path(path, frame(spark, [(i, i) for i in range(20)], "id long, v int"), ["id"], ["v"])
+    before = rows(read_table(spark, path))
+    second = frame(spark, [(i, -1) for i in range(10, 30)] + [(None, 7)], "id long, v int")
+    broken = F.when(F.col("v") >= 15, F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        merge_into_path(path, second, ["id"], ["v"], on_update={"v": broken})
+    assert rows(read_table(spark, path)) == before
+    for _ in range(2):
+        counts = merge_into_path(path, second, ["id"], ["v"])
+    assert (counts.inserted, counts.updated, counts.unkeyed) == (0, 20, 1)
+    assert rows(read_table(spark, path)) == sorted(
+        [(i, i if i < 10 else -1) for i in range(30)], key=lambda r: tuple((False, str(v)) for v in r))
+
+
+def test_old_runs_go_and_additions_stay(spark, tmp_path):
+    path = tmp_path / "t"
+    for i in range(3):
+        merge_into_path(str(path), frame(spark, [(i, i), (99, i)], "id long, v int"), ["id"], ["v"], surrogate="sk")
+    assert sorted(p.name for p in path.glob("*-*")) == ["full-00000002", "full-00000003"]
+    for i in (5, 6):
+        merge_into_path(str(path), frame(spark, [(i, i), (99, -1)], "id long, v int"), ["id"], [], surrogate="sk")
+    table = read_table(spark, str(path))
+    assert {tuple(r) for r in table.select("id", "v").collect()} == {(0, 0), (1, 1), (2, 2), (5, 5), (6, 6), (99, 2)}
+    assert table.select("sk").distinct().count() == 6
+    assert sorted(p.name for p in path.glob("*-*")) == [
+        "add-00000004", "add-00000005", "full-00000002", "full-00000003"]
 
 
 def test_rows_without_key_are_kept_aside(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     schema = "id string, v int, seq int"
     first = frame(spark, [("a", 1, 1), (None, 2, 1), (None, 3, 2), ("a", 4, 2)], schema)
-    counts = merge_into_path(path, first, ["id"], ["v"], order_by=["seq"], surrogate="sk", buckets=2)
+    counts = merge_into_path(path, first, ["id"], ["v"], order_by=["seq"], surrogate="sk")
     assert (counts.inserted, counts.unkeyed) == (1, 2)
-    assert rows(read_bucketed(spark, path), "id", "v") == [("a", 4)]
+    assert rows(read_table(spark, path), "id", "v") == [("a", 4)]
     assert rows(spark.read.parquet(f"{path}/unkeyed"), "id", "v") == [(None, 2), (None, 3)]
     assert merge_into_path(path, first.limit(0), ["id"], ["v"], surrogate="sk").inserted == 0
 
