@@ -86,13 +86,18 @@ def _epoch_rows_before(spark: SparkSession, ledger: str, epoch: int) -> int:
     return spark.read.parquet(ledger).where(F.col("epoch") < epoch).agg(F.sum("records")).first()[0] or 0
 
 
-# Elements of one document get consecutive ids; a document of the largest variant size holds fewer.
-_ELEMENTS_PER_DOCUMENT = 1 << 24
+# A text is under 2**31 bytes and every element of an array takes two at least, so no document reaches this number.
+_ELEMENTS_PER_DOCUMENT = 1 << 30
 
 
 def record_id(first: int) -> Column:
-    """Increasing id, unique over the loads of a table and the same when a load is replayed."""
-    return (F.lit(first).cast("long") + F.col("_batch_row")) * _ELEMENTS_PER_DOCUMENT + F.col("_element")
+    """Increasing id, unique over the loads of a table and the same when a load is replayed.
+
+    A decimal, as the number of a text (64 bits) and the place in it (30 bits) do not fit a long.
+    """
+    text = (F.lit(first).cast("long") + F.col("_batch_row")).cast("decimal(19,0)")
+    element = F.col("_element").cast("decimal(10,0)")
+    return (text * F.lit(_ELEMENTS_PER_DOCUMENT).cast("decimal(10,0)") + element).cast("decimal(28,0)")
 
 
 def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, glob: str | None = None,

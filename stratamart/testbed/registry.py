@@ -27,6 +27,7 @@ from ..sources import load, scan
 from ..streaming import incremental
 from . import inputs, landing
 from .inputs import AS_OF
+from .stored import stored
 
 # The market regions delivered first; the second delivery re-sends one region and adds another.
 FIRST_BATCH = "r_name <> 'ASIA'"
@@ -260,8 +261,8 @@ def silver_events(spark, sf_dir):
     first = delivery(events, 1).unionByName(delivery(events.where("k % 50 = 0"), 2)).unionByName(delivery(unnamed, 3))
     for raw in (first, delivery(events, 4)):
         full_run.merge_events(house, raw, AS_OF, NOW)
-    stored = house.read(spark, "silver", "events")
-    return stored.drop("event_sk", *_CLOCKS, "source_record_id").withColumn("properties", F.variant_get("properties", "$.k", "long"))
+    events = house.read(spark, "silver", "events")
+    return events.drop("event_sk", *_CLOCKS, "source_record_id").withColumn("properties", F.variant_get("properties", "$.k", "long"))
 
 
 @query
@@ -373,8 +374,7 @@ def merge_products(spark, sf_dir):
     return house.read(spark, "silver", "products").drop("product_sk", *_CLOCKS)
 
 
-def _order_batches(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    orders = orders if orders is not None else inputs.silver_orders(spark, sf_dir)
+def _order_batches(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = orders.where(F.col("order_date") < ORDERS_UNTIL)
     second = orders.where(F.col("order_date") >= ORDERS_FROM).withColumns({
         "order_status": F.lit("SHIPPED"), "ship_date": F.date_add("order_date", 3),
@@ -385,7 +385,7 @@ def _order_batches(spark: SparkSession, sf_dir: str, orders: DataFrame | None =
 
 @query
 def merge_orders(spark, sf_dir):
-    first, second = _order_batches(spark, sf_dir, inputs.order_measures(spark, sf_dir))
+    first, second = _order_batches(stored(spark, sf_dir, "orders"))
     merged = _merged(spark, "orders", (first, second), ["order_id"], silver.ORDER_UPDATE_COLUMNS)
     return merged.select("order_id", "customer_id", "order_date", "order_status", "ship_date", "ship_mode",
                          "subtotal", "total_amount", "total_items")
@@ -416,9 +416,9 @@ def merge_dim_product(spark, sf_dir):
 
 @query
 def merge_fact_sales(spark, sf_dir):
-    stored = stage(inputs.silver_orders(spark, sf_dir), "silver-orders")
+    customers, places = stored(spark, sf_dir, "dim_customer"), stored(spark, sf_dir, "dim_geography")
     first, second = (
-        _fact_sales(spark, sf_dir, orders).drop("geography_sk") for orders in _order_batches(spark, sf_dir, stored))
+        facts.fact_sales(orders, customers, places) for orders in _order_batches(stored(spark, sf_dir, "orders")))
     merged = _merged(spark, "fact", (first, second), ["order_id"], facts.SALES_UPDATE_COLUMNS, surrogate="sales_sk",
                      cluster_by=["date_sk"])
     return merged.select(
@@ -429,7 +429,7 @@ def merge_fact_sales(spark, sf_dir):
 @query
 def merge_daily_sales(spark, sf_dir):
     """Days from July 1999 are computed again after amounts grew; the stored new-customer count stays."""
-    orders = inputs.order_measures(spark, sf_dir, products=True)
+    orders = stored(spark, sf_dir, "orders")
     first = facts.fact_daily_sales(orders, end=dt.date(1999, 12, 31)).withColumn("new_customers", F.lit(7).cast("long"))
     grown = orders.withColumn("total_amount", (F.col("total_amount") + 10).cast(MONEY))
     second = facts.fact_daily_sales(grown, start=ORDERS_FROM)
@@ -561,8 +561,8 @@ def _delivered_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
 def validity_intervals(spark, sf_dir):
     """Intervals after two deliveries out of order; the second computes only its own customers again."""
     first, both, late = _delivered_versions(spark, sf_dir)
-    stored = stage(validity.intervals(first, "o_custkey", ["tier"]), "intervals")
-    return validity.refresh_intervals(stored, both, late, "o_custkey", ["tier"])
+    kept = stage(validity.intervals(first, "o_custkey", ["tier"]), "intervals")
+    return validity.refresh_intervals(kept, both, late, "o_custkey", ["tier"])
 
 
 @query
@@ -675,68 +675,37 @@ def dim_geography(spark, sf_dir):
     return dims.dim_geography(inputs.silver_orders(spark, sf_dir))
 
 
-def _customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.raw_customers(spark, sf_dir).select(
-        "customer_id", inputs.customer_key().alias("customer_sk"))
-
-
-def _geography(spark: SparkSession, orders: DataFrame) -> DataFrame:
-    """Places keyed by hash: stands for the stored dimension without numbering it again."""
-    places = dims.geography_attributes(orders)
-    return places.withColumn("geography_sk", F.xxhash64("city", "state", "country"))
-
-
-def _fact_sales(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    return facts.fact_sales(orders, _customer_keys(spark, sf_dir), _geography(spark, orders))
-
-
-def _stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order fact as the views read it: the columns of the stored table, without its lookups."""
-    return inputs.order_measures(spark, sf_dir).withColumns({
-        "date_sk": facts.date_key(F.col("order_date")),
-        "profit_amount": (F.col("subtotal") * F.lit(Decimal(facts.PROFIT_SHARE))).cast(MONEY),
-        "days_to_ship": F.datediff("ship_date", "order_date").cast("long"),
-    })
-
-
 @query
 def fact_sales(spark, sf_dir):
-    orders = inputs.silver_orders(spark, sf_dir)
-    rows = facts.fact_sales(orders, inputs.dim_customer(spark, sf_dir), _geography(spark, orders))
-    return rows.withColumn("geography_sk", F.col("geography_sk").isNotNull()).withColumnRenamed(
+    tables = (stored(spark, sf_dir, name) for name in ("orders", "dim_customer", "dim_geography"))
+    return facts.fact_sales(*tables).withColumn("geography_sk", F.col("geography_sk").isNotNull()).withColumnRenamed(
         "geography_sk", "has_geography").drop("source_order_sk", "product_sk")
 
 
-def _sales_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items, headers = inputs.items_and_headers(spark, sf_dir)
-    return facts.fact_sales_items(items, headers, inputs.dim_product(spark, sf_dir))
-
-
 @query
 def fact_sales_items(spark, sf_dir):
-    return _sales_items(spark, sf_dir)
+    return facts.fact_sales_items(*(stored(spark, sf_dir, name) for name in ("order_items", "fact_sales", "dim_product")))
 
 
 @query
 def fact_daily_sales(spark, sf_dir):
-    return facts.fact_daily_sales(inputs.order_measures(spark, sf_dir, products=True))
+    return facts.fact_daily_sales(stored(spark, sf_dir, "orders"))
 
 
 @query
 def daily_sales_trends(spark, sf_dir):
-    orders = inputs.order_measures(spark, sf_dir)
-    daily = facts.fact_daily_sales(orders.withColumn("unique_products", F.lit(None).cast("long")))
-    return facts.daily_sales_trends(daily, orders)
+    return facts.daily_sales_trends(stored(spark, sf_dir, "fact_daily_sales"), stored(spark, sf_dir, "orders"))
 
 
 @query
 def fact_customer_activity(spark, sf_dir):
-    return facts.fact_customer_activity(_stored_sales(spark, sf_dir), AS_OF)
+    return facts.fact_customer_activity(stored(spark, sf_dir, "fact_sales"), AS_OF)
 
 
 @query
 def fact_product_performance(spark, sf_dir):
-    return facts.fact_product_performance(_sales_items(spark, sf_dir), inputs.dim_product(spark, sf_dir))
+    return facts.fact_product_performance(
+        stored(spark, sf_dir, "fact_sales_items"), stored(spark, sf_dir, "dim_product"))
 
 
 # --- views -------------------------------------------------------------------------------------
@@ -744,43 +713,42 @@ def fact_product_performance(spark, sf_dir):
 
 @query
 def v_sales_overview(spark, sf_dir):
-    orders = inputs.order_measures(spark, sf_dir).withColumn("unique_products", F.lit(None).cast("long"))
-    return views.v_sales_overview(facts.fact_daily_sales(orders), _calendar(spark, sf_dir))
+    return views.v_sales_overview(stored(spark, sf_dir, "fact_daily_sales"), _calendar(spark, sf_dir))
 
 
 @query
 def v_customer_segments(spark, sf_dir):
-    return views.v_customer_segments(inputs.dim_customer(spark, sf_dir), _stored_sales(spark, sf_dir))
+    return views.v_customer_segments(stored(spark, sf_dir, "dim_customer"), stored(spark, sf_dir, "fact_sales"))
 
 
 @query
 def v_product_performance(spark, sf_dir):
-    return views.v_product_performance(inputs.dim_product(spark, sf_dir), _sales_items(spark, sf_dir))
+    return views.v_product_performance(stored(spark, sf_dir, "dim_product"), stored(spark, sf_dir, "fact_sales_items"))
 
 
 @query
 def v_monthly_trends(spark, sf_dir):
-    return views.v_monthly_trends(_stored_sales(spark, sf_dir), _calendar(spark, sf_dir))
+    return views.v_monthly_trends(stored(spark, sf_dir, "fact_sales"), _calendar(spark, sf_dir))
 
 
 @query
 def v_category_performance(spark, sf_dir):
-    return views.v_category_performance(inputs.dim_product(spark, sf_dir), _sales_items(spark, sf_dir))
+    return views.v_category_performance(stored(spark, sf_dir, "dim_product"), stored(spark, sf_dir, "fact_sales_items"))
 
 
 @query
 def v_geographic_sales(spark, sf_dir):
-    return views.v_geographic_sales(inputs.dim_customer(spark, sf_dir), _stored_sales(spark, sf_dir))
+    return views.v_geographic_sales(stored(spark, sf_dir, "dim_customer"), stored(spark, sf_dir, "fact_sales"))
 
 
 @query
 def v_top_customers(spark, sf_dir):
-    return views.v_top_customers(inputs.dim_customer(spark, sf_dir), _stored_sales(spark, sf_dir), AS_OF)
+    return views.v_top_customers(stored(spark, sf_dir, "dim_customer"), stored(spark, sf_dir, "fact_sales"), AS_OF)
 
 
 @query
 def v_order_status_summary(spark, sf_dir):
-    return views.v_order_status_summary(_stored_sales(spark, sf_dir))
+    return views.v_order_status_summary(stored(spark, sf_dir, "fact_sales"))
 
 
 # --- whole run and audits ----------------------------------------------------------------------

@@ -88,3 +88,12 @@ def test_batches_are_bounded_by_files(spark, tmp_path):
     assert stored.select("epoch").distinct().count() == 3
     assert stored.select("record_id").distinct().count() == 3
     assert load.load_raw(spark, load.RAW_PRODUCTS, str(landing), bronze, files_per_batch=1).loaded == 0
+
+
+def test_record_ids_of_very_long_documents_do_not_meet(spark):
+    """Places beyond 2**24, and numbers of texts near the largest."""
+    places = [(1, 0), (1, 1 << 24), (1, (1 << 30) - 1), (2, 0), (2, 1), ((1 << 62), 0), ((1 << 62), (1 << 30) - 1)]
+    numbered = spark.createDataFrame(places, "_batch_row long, _element int")
+    ids = [r[0] for r in numbered.select(load.record_id(1 << 61).alias("id"), "_batch_row", "_element")
+           .orderBy("_batch_row", "_element").collect()]
+    assert None not in ids and len(set(ids)) == len(ids) and ids == sorted(ids)
