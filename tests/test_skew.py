@@ -81,6 +81,8 @@ def test_documents_and_typed_shortcut_agree(spark):
 
 
 def test_every_query_has_its_sql():
-    """The training-data queries have no SQL; their tests are their own."""
-    plain = {name for name in entry.queries() if not (name.startswith("op") and name[2].isdigit()) and name != "pipeline"}
-    assert plain == set(entry.oracle_sql())
+    """The training-data queries may have none; their tests are their own."""
+    def plain(names):
+        return {n for n in names if not (n.startswith("op") and n[2].isdigit()) and n != "pipeline"}
+
+    assert plain(entry.queries()) == plain(entry.oracle_sql())
