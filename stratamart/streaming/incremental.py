@@ -25,15 +25,38 @@ def read_growing(spark: SparkSession, path: str, schema: StructType, files_per_b
     return reader.parquet(path)
 
 
+_FILE = "_read_file"
+
+
+def _ledger(checkpoint: str) -> str:
+    return f"{checkpoint}-files"
+
+
+def _noting_files(checkpoint: str, fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """After the work, the batch's files go to the consumer's ledger; a replayed batch overwrites its entry."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        fn(batch.drop(_FILE), batch_id)
+        (
+            batch.select(_plain_path(F.col(_FILE)).alias("path")).distinct().withColumn("batch", F.lit(batch_id))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch").parquet(_ledger(checkpoint))
+        )
+
+    return run
+
+
 def incremental(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None],
                 interval: str | None = None) -> StreamingQuery:
     """Hand every new batch to ``fn(batch, batch_id)``.
 
     Without ``interval`` the query drains the source and ends (an outside scheduler repeats it); with
     one, such as ``5 minutes``, it keeps running. ``fn`` must be idempotent per batch id, as keyed
-    merges and per-batch partitions are.
+    merges and per-batch partitions are. The files of each finished batch are noted beside the checkpoint for
+    ``stream_status``, in a second pass over the batch. ``stream`` is a file stream, as ``read_growing`` gives it.
     """
-    writer = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    noted = stream.withColumn(_FILE, F.col("_metadata.file_path"))
+    writer = noted.writeStream.foreachBatch(_noting_files(checkpoint, fn)).option("checkpointLocation", checkpoint)
     if interval:
         return writer.trigger(processingTime=interval).start()
     return writer.trigger(availableNow=True).start()
@@ -72,25 +95,14 @@ def _plain_path(c: Column) -> Column:
 
 
 def pending_files(spark: SparkSession, source: str, checkpoint: str, glob: str = "*.parquet") -> DataFrame:
-    """Files of the source that no committed batch of the consumer has read."""
+    """Files with rows of the source that the consumer's ledger does not name."""
     listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-        .load(source).select(_plain_path(F.col("path")).alias("path"))
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").parquet(source)
+        .select(_plain_path(F.col("_metadata.file_path")).alias("path")).distinct()
     )
-    commits = f"{checkpoint}/commits"
-    if not table_exists(spark, commits) or not table_exists(spark, f"{checkpoint}/sources/0"):
+    if not table_exists(spark, _ledger(checkpoint)):
         return listed
-    done = (
-        spark.read.format("binaryFile").load(commits)
-        .select(F.element_at(F.split("path", "/"), -1).try_cast("long").alias("id"))
-        .agg(F.max("id")).first()[0]
-    )
-    entries = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{")).select(
-        _plain_path(F.get_json_object("value", "$.path")).alias("path"),
-        F.get_json_object("value", "$.batchId").cast("long").alias("batch"),
-    )
-    committed = entries.where(F.col("batch") <= F.lit(-1 if done is None else done)).select("path")
-    return listed.join(committed, "path", "left_anti")
+    return listed.join(spark.read.parquet(_ledger(checkpoint)).select("path"), "path", "left_anti")
 
 
 def stream_status(spark: SparkSession, streams: list[tuple[str, str, str]], glob: str = "*.parquet") -> DataFrame:

@@ -58,3 +58,8 @@ def test_stream_status(spark, tmp_path, rows):
     deliver(spark, source, 2)
     deliver(spark, source, 3)
     assert status() == [("MISSING", False, 0), ("S", True, 2)]
+    # A file without rows is not data, and the ledger is the consumer's own.
+    spark.createDataFrame([], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    incremental.drain(incremental.read_growing(spark, source, schema), checkpoint, lambda batch, _: batch.count())
+    assert status() == [("MISSING", False, 0), ("S", False, 0)]
+    assert rows(spark.read.parquet(f"{checkpoint}-files").groupBy("batch").count(), "batch", "count") == [(0, 1), (1, 2)]
