@@ -15,6 +15,7 @@ from ..sources.load import (
     RAW_CUSTOMERS, RAW_EVENTS, RAW_ORDERS, RAW_PRODUCTS, RawTable, load_all_raw, load_raw,
 )
 from ..sources.scan import FileFormat
+from ..streaming import event_state
 from ..streaming.incremental import drain, read_growing
 from . import dims, facts, silver
 
@@ -135,6 +136,21 @@ def transform_events(spark: SparkSession, house: Warehouse, files_per_batch: int
     return consume(spark, house, RAW_EVENTS, "silver_events", merge_events, _clock().date(), files_per_batch)
 
 
+EVENT_KEY, EVENT_TIME = "event_id", "event_timestamp"
+
+
+def stream_events(spark: SparkSession, house: Warehouse, horizon: str = "7 days") -> event_state.StateReport | None:
+    """Unread events into silver, each once as first delivered, by keyed state: only events that come late are compared
+    with stored ones. Another way than ``transform_events``, with a table of its own (``event_state.read_events``)."""
+    path = f"{house.bronze}/{RAW_EVENTS.name}"
+    if not table_exists(spark, path):
+        return None
+    raw = read_growing(spark, path, spark.read.parquet(path).schema).where(F.col("rejected") == 0)
+    return event_state.first_deliveries(
+        silver.typed_events(raw), house.table("silver", "event_stream"), f"{house.root}/checkpoints/event_stream",
+        EVENT_KEY, EVENT_TIME, arrived="bronze_load_ts", horizon=horizon)
+
+
 def load_events(spark: SparkSession, house: Warehouse, landing: str):
     return load_raw(spark, RAW_EVENTS, landing, house.bronze)
 

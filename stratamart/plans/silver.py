@@ -239,12 +239,8 @@ def _order_id(items: DataFrame) -> Column:
     return F.col("order_id")
 
 
-def silver_events(raw: DataFrame) -> DataFrame:
-    """Typed events. Business hours are Monday to Friday, 09:00 to 16:59.
-
-    When the raw frame has lineage, an event sent twice in the batch counts once (the latest). Events without
-    an id stay rows of their own; the stored merge sets them aside.
-    """
+def typed_events(raw: DataFrame) -> DataFrame:
+    """Events as sent, typed. Business hours are Monday to Friday, 09:00 to 16:59."""
     typed = raw.select(
         "*",
         try_wall_clock(_text("$.event_timestamp")).alias("_ts"),
@@ -252,7 +248,7 @@ def silver_events(raw: DataFrame) -> DataFrame:
     ts = F.col("_ts")
     date = ts.cast("date")
     weekday = ~is_weekend(date)
-    events = typed.select(
+    return typed.select(
         _text("$.event_id").alias("event_id"),
         _text("$.event_type").alias("event_type"),
         _text("$.category").alias("event_category"),
@@ -275,6 +271,13 @@ def silver_events(raw: DataFrame) -> DataFrame:
         (weekday & (F.hour(ts) >= 9) & (F.hour(ts) < 17)).alias("is_business_hours"),
         *_audit(raw, ("record_id", "load_timestamp")),
     )
+
+
+def silver_events(raw: DataFrame) -> DataFrame:
+    """Typed events. When the raw frame has lineage, an event sent twice in the batch counts once (the latest).
+    Events without an id stay rows of their own; the stored merge sets them aside.
+    """
+    events = typed_events(raw)
     if "source_record_id" in events.columns:
         unknown = F.when(F.col("event_id").isNull(), F.col("source_record_id"))
         events = latest_by_key(events.withColumn("_own", unknown), ["event_id", "_own"], ["source_record_id"]).drop("_own")

@@ -566,6 +566,11 @@ ASOF LEFT JOIN versions v ON o.o_custkey = v.o_custkey AND o.order_date >= v.val
     q["cdc_append_only"] = build(f"""
 SELECT event_id, event_type, ts AS event_timestamp, {dbl('event_value')},
        CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END::BIGINT AS batch FROM events_text""")
+    q["events_by_state"] = build(f"""
+SELECT event_id, event_type, ts AS event_timestamp, {dbl('event_value')},
+       CASE WHEN ts < TIMESTAMP '2024-01-11' AND substr(event_id, 5)::BIGINT % 20 <> 3 THEN TIMESTAMP '2024-01-11'
+            WHEN ts < TIMESTAMP '2024-01-21' THEN TIMESTAMP '2024-01-21' ELSE TIMESTAMP '2024-01-31' END AS first_delivered
+FROM events_text""")
     q["incremental_silver"] = build(f"""
 SELECT customer_id, first_name, customer_segment, customer_tier, {dbl('dq_score')}, 0::BIGINT AS idle_batches
 FROM merged_customers""")

@@ -24,7 +24,7 @@ from ..plans import dims, facts, full_run, silver, views
 from ..schemas import CUSTOMER_COLUMNS, PRODUCT_COLUMNS
 from ..session import scratch_path, stage
 from ..sources import load, scan
-from ..streaming import incremental
+from ..streaming import event_state, incremental
 from . import inputs, landing
 from .inputs import AS_OF
 from .stored import stored
@@ -36,6 +36,9 @@ DELETED_REGION = "AFRICA"
 
 ORDERS_UNTIL, ORDERS_FROM = dt.date(2000, 1, 1), dt.date(1999, 7, 1)
 
+# The days three deliveries of events arrive.
+EVENT_CUTS = ("2024-01-11", "2024-01-21", "2024-01-31")
+
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 
@@ -592,6 +595,30 @@ def cdc_append_only(spark, sf_dir):
                                              F.col("batch").cast("long").alias("batch"))
 
 
+@query
+def events_by_state(spark, sf_dir):
+    """Three deliveries, each event once as first delivered: some come late, many again, some without an id."""
+    house = full_run.Warehouse(scratch_path(spark, "event_state"))
+    ts, k = F.col("event_timestamp"), F.regexp_extract("event_id", "([0-9]+)$", 1).cast("long")
+    events = load.RAW_EVENTS.with_extracted(inputs.raw_events(spark, sf_dir)).withColumn("rejected", F.lit(0))
+    held_back, (first, second) = k % 20 == 3, (F.lit(day).cast("timestamp_ntz") for day in EVENT_CUTS[:2])
+    unnamed = F.parse_json(F.lit('{"event_type": "click"}'))
+    for day, part in zip(EVENT_CUTS, (
+        (ts < first) & ~held_back,
+        ((ts >= first) & (ts < second)) | ((ts < first) & (held_back | (k % 10 == 0))),
+        (ts >= second) | (k % 7 == 0),
+    )):
+        sent = events.where(part).unionByName(
+            events.where(part & (k % 100 == 1)).withColumns({"raw_data": unnamed, "event_id": F.lit(None).cast("string")}))
+        lineage = {"record_id": k.cast("decimal(28,0)"), "filename": F.lit("events"), "file_row_number": k,
+                   "load_timestamp": F.lit(day).cast("timestamp_ntz")}
+        landing.rows_to_parquet(sent.withColumns(lineage), f"{house.bronze}/raw_events")
+        full_run.stream_events(spark, house, "15 days")
+    stored = event_state.read_events(spark, house.table("silver", "event_stream"))
+    return stored.select("event_id", "event_type", "event_timestamp", "event_value",
+                         F.col("bronze_load_ts").alias("first_delivered"))
+
+
 @query
 def incremental_silver(spark, sf_dir):
     """Landing files in two deliveries, loaded and merged incrementally; a third run finds nothing."""
