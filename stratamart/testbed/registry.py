@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import MONEY
-from ..operators import audit, bitmaps, changes, checksums, flatten, ranking, validity
+from ..operators import audit, bitmaps, changes, checksums, flatten, layout, ranking, validity
 from ..operators.maintained import MaintainedView, signed
 from ..operators.merge import merge_into_path, merge_upsert, read_table
 from ..operators.ordering import asc, desc
@@ -268,6 +268,25 @@ def silver_events(spark, sf_dir):
     return events.drop("event_sk", *_CLOCKS, "source_record_id").withColumn("properties", F.variant_get("properties", "$.k", "long"))
 
 
+@query
+def clustered_events(spark, sf_dir):
+    """Silver events of two deliveries, laid out along a curve: per filter on one key the rows found, and whether it meets
+    under a fifth of the files."""
+    house = full_run.Warehouse(scratch_path(spark, "laid_out"))
+    for delivery in _event_deliveries(spark, sf_dir):
+        full_run.merge_events(house, _lineage(delivery, "event_id", 1), AS_OF, NOW)
+    full_run.lay_out_events(spark, house, 144)
+    events = house.read(spark, "silver", "events")
+    spans = stage(layout.file_spans(events, full_run.EVENT_LAYOUT), "spans")
+    hour = F.lit("2024-01-17 10:00:00").cast("timestamp_ntz")
+    lines = []
+    for key, low, high in (("event_timestamp", hour, hour + F.expr("interval 1 hour")), ("user_id", F.lit("7"), F.lit("7"))):
+        few = layout.files_met(spans, key, low, high).select(F.col("files_met") * 5 < F.col("files")).scalar()
+        found = events.where(F.col(key).between(low, high)).agg(F.count(F.lit(1)).alias("row_count"))
+        lines.append(found.select(F.lit(key).alias("key"), "row_count", few.alias("under_a_fifth")))
+    return reduce(DataFrame.unionByName, lines)
+
+
 @query
 def dq_score(spark, sf_dir):
     """Distribution of the three scores."""
