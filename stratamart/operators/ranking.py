@@ -7,7 +7,10 @@ global. The numbered slices are written before any second pass, so every pass se
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 from .ordering import SortKey, asc, sorts_at_or_after
@@ -120,22 +123,90 @@ def ntile_starts(rows: int, k: int) -> list[int]:
     return [s for s in starts if s < rows]
 
 
-def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey]) -> list[tuple]:
+def ntile_cuts(df: DataFrame, k: int, keys: list[SortKey], accuracy: int = 10_000) -> list[tuple]:
     """Exact sort-key tuples of the first row of tiles 2..k. The keys must identify a row.
 
-    What reaches the driver: one count per slice and at most ``k - 1`` rows.
+    A quantile sketch of the first key gives a bracket round each cut, counts show how many rows lie before and in it, and
+    only rows of brackets are sorted: a few of ``accuracy`` shares a cut, and whole runs of a tied value. All rows are
+    sorted where the first key has no quantiles (text) or a bracket misses its cut.
+    What reaches the driver: counts, two values a cut, and at most ``k - 1`` rows.
     """
+    rows = df.select(*(key.name for key in keys))
+    sizes = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(keys[0].name).isNull()).alias("nulls")).first()
+    starts = ntile_starts(sizes["rows"], k)
+    if not starts:
+        return []
+    if isinstance(rows.schema[keys[0].name].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        spans = _cut_spans(rows, keys[0], starts, sizes["rows"] - sizes["nulls"], sizes["nulls"], accuracy)
+        inside, places = _in_spans(rows, keys[0], starts, spans)
+        if inside is not None:
+            return _rows_at(inside, keys, places)
+    return _rows_at(rows, keys, starts)
+
+
+Span = tuple[object, object]
+
+
+def _cut_spans(rows: DataFrame, key: SortKey, starts: list[int], valued: int, nulls: int, accuracy: int) -> list[Span]:
+    """For each position the first and last key value, in sort order, between which its row should lie."""
+    slack = 2 * valued // accuracy + 1
+    shares: list[tuple[float, float] | None] = []
+    for start in starts:
+        place = start - nulls if key.descending else start
+        if not 0 <= place < valued:
+            shares.append(None)
+            continue
+        rising = valued - 1 - place if key.descending else place
+        shares.append((max(0, rising - slack) / valued, min(valued, rising + 1 + slack) / valued))
+    wanted = [share for pair in shares if pair for share in pair]
+    if not wanted:
+        return [(None, None)] * len(starts)
+    found = iter(rows.agg(F.percentile_approx(key.name, wanted, accuracy)).first()[0])
+    spans: list[Span] = []
+    for pair in shares:
+        low, high = (next(found), next(found)) if pair else (None, None)
+        spans.append((high, low) if key.descending else (low, high))
+    return spans
+
+
+def _in_spans(rows: DataFrame, key: SortKey, starts: list[int], spans: list[Span]) -> tuple[DataFrame | None, list[int]]:
+    """The rows inside the spans, and where the positions lie among them; no rows if a span misses its position
+    or ends at NaN, which does not compare."""
+    if any(value != value for span in spans for value in span):
+        return None, starts
+    merged: list[Span] = []
+    for low, high in spans:
+        touches = merged and ((low is None) == (merged[-1][1] is None)) and (
+            low is None or (low >= merged[-1][1] if key.descending else low <= merged[-1][1]))
+        if touches:
+            merged[-1] = (merged[-1][0], high)
+        else:
+            merged.append((low, high))
+    inside = [(key.sorts_after(low) | key.ties(low)) & ~key.sorts_after(high) for low, high in merged]
+    counts = rows.agg(
+        *(F.count_if(~(key.sorts_after(low) | key.ties(low))).alias(f"before{i}") for i, (low, _) in enumerate(merged)),
+        *(F.count_if(c).alias(f"inside{i}") for i, c in enumerate(inside)),
+    ).first()
+    places, kept = [], 0
+    for i in range(len(merged)):
+        before, size = counts[f"before{i}"], counts[f"inside{i}"]
+        places += [start - before + kept for start in starts if before <= start < before + size]
+        kept += size
+    if len(places) != len(starts):
+        return None, starts
+    return rows.where(reduce(Column.__or__, inside)), places
+
+
+def _rows_at(rows: DataFrame, keys: list[SortKey], positions: list[int]) -> list[tuple]:
+    """Key tuples of the rows at 0-based positions of the sort order, which rise."""
     names = [key.name for key in keys]
-    sliced = ordered_slices(df.select(*names), keys)
+    sliced = ordered_slices(rows, keys)
     sizes = sorted((r["_slice"], r["count"]) for r in sliced.groupBy("_slice").count().collect())
     wanted = []
     offset = 0
-    starts = ntile_starts(sum(n for _, n in sizes), k)
     for slice_id, n in sizes:
-        wanted += [(slice_id, s - offset) for s in starts if offset <= s < offset + n]
+        wanted += [(slice_id, p - offset) for p in positions if offset <= p < offset + n]
         offset += n
-    if not wanted:
-        return []
     hit = F.lit(False)
     for slice_id, pos in wanted:
         hit = hit | ((F.col("_slice") == slice_id) & (F.col("_pos") == pos))

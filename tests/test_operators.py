@@ -9,6 +9,7 @@ from stratamart.operators import changes, merge, ranking
 from stratamart.operators.merge import latest_by_key, merge_into_path, merge_upsert, read_table
 from stratamart.operators.ordering import asc, desc
 from stratamart.operators.scd2 import OPEN_END, scd2
+from stratamart.session import stage
 
 DAY = dt.date(2025, 3, 15)
 
@@ -228,6 +229,35 @@ def test_ntile_equals_plain_window(skewed, rows, keys, k):
     assert rows(ranking.global_ntile(skewed, k, keys, "t")) == rows(expected)
 
 
+@pytest.mark.parametrize("key, descending", [("n", False), ("n", True), ("d", True), ("x", False)])
+def test_ntile_sorts_only_rows_near_the_cuts(spark, rows, monkeypatch, key, descending):
+    """Ties, a value on a third of the rows, NULL, NaN and infinite values; at most the hot run and 2 % are sorted."""
+    odd = F.when(F.col("id") % 50 == 0, None)
+    frame = spark.range(20_000).select(
+        "id", odd.when(F.col("id") % 3 == 0, 70).otherwise(F.xxhash64("id") % 5000).alias("n"),
+        odd.otherwise(F.date_add(F.lit("2024-01-01"), (F.xxhash64("id") % 9000).cast("int"))).alias("d"),
+        odd.when(F.col("id") % 49 == 0, float("nan")).when(F.col("id") % 47 == 0, float("-inf"))
+        .otherwise(F.rand(3) - 0.5).alias("x"))
+    frame = stage(frame)
+    keys = [ranking.SortKey(key, descending), asc("id")]
+    sorted_rows, slices = [], ranking.ordered_slices
+    monkeypatch.setattr(ranking, "ordered_slices", lambda df, *a: sorted_rows.append(df.count()) or slices(df, *a))
+    expected = frame.withColumn("t", F.ntile(5).over(Window.orderBy(*(k.column() for k in keys))).cast("long"))
+    assert rows(ranking.global_ntile(frame, 5, keys, "t"), "id", "t") == rows(expected, "id", "t")
+    assert len(sorted_rows) == 1 and sorted_rows[0] < (7500 if key == "n" else 400)
+
+
+def test_ntile_of_texts_nulls_and_missed_brackets(spark, rows, monkeypatch):
+    frame = stage(spark.range(900).select("id", F.lit(None).cast("int").alias("none"), F.hex("id").alias("text")))
+    for key in ("none", "text"):
+        for keys in ([asc(key), asc("id")], [desc(key), asc("id")]):
+            expected = frame.withColumn("t", F.ntile(4).over(Window.orderBy(*(k.column() for k in keys))).cast("long"))
+            assert rows(ranking.global_ntile(frame, 4, keys, "t"), "id", "t") == rows(expected, "id", "t")
+    monkeypatch.setattr(ranking, "_cut_spans", lambda rows, key, starts, *a: [(1, 2)] * len(starts))
+    expected = frame.withColumn("t", F.ntile(4).over(Window.orderBy("id")).cast("long"))
+    assert rows(ranking.global_ntile(frame, 4, [asc("id")], "t"), "id", "t") == rows(expected, "id", "t")
+
+
 def test_ntile_with_more_tiles_than_rows(spark, rows):
     few = frame(spark, [(1,), (2,), (3,)], "id int")
     assert rows(ranking.global_ntile(few, 5, [asc("id")], "t")) == [(1, 1), (2, 2), (3, 3)]
