@@ -119,6 +119,8 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
+        # Good and bad records are two folders: two open files a task, instead of sorting its records by folder.
+        session.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
         first = _epoch_rows_before(session, ledger, epoch)
         scanned = shape_records(batch, fmt, list(table.columns))
         rows = (

@@ -50,8 +50,9 @@ _CSV_COMMON = {
 JSON_ARRAY = FileFormat("json", {"wholetext": "true"}, "*.json")
 # The document as it is, array or not.
 JSON_DOCUMENT = FileFormat("json", {"wholetext": "true"}, "*.json", strip_outer_array=False)
-# A JSON document per line: splittable, the format for large drops.
-JSON_LINES = FileFormat("json", {"wholetext": "false"}, "*.json")
+# A JSON document per line: the format for large drops. Plain files are splittable; compressed ones (told by their names)
+# are not, so large drops of them come as many files.
+JSON_LINES = FileFormat("json", {"wholetext": "false"}, "*.json{,.gz,.bz2}")
 CSV = FileFormat("csv", {**_CSV_COMMON, "sep": ",", "header": "true"}, "*.csv")
 # For files known to have no line break inside quotes: splittable, the format for large files.
 CSV_LINES = FileFormat("csv", {**_CSV_COMMON, "sep": ",", "header": "true", "multiLine": "false"}, "*.csv")

@@ -174,14 +174,20 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
-def _with_headers(headers: DataFrame, documents: DataFrame) -> DataFrame:
+def _by_shipment(lines: DataFrame, *columns: str) -> DataFrame:
+    """The named columns of the lines with each shipment in one partition. Nearly every line is a shipment of its own, so
+    grouping before the shuffle would sort the lines of every map task, saving nothing."""
+    return lines.select(*SHIPMENT, *columns).repartition(*SHIPMENT)
+
+
+def _with_headers(headers: DataFrame, documents: DataFrame, lines: DataFrame) -> DataFrame:
     """Shipments with their order, and orders without lines.
 
     One order can have many shipments; an inner join can divide such a key over tasks where an outer join from
     the orders cannot, so the orders without lines are added by an anti join.
     """
     same = F.col("o_orderkey") == F.col("l_orderkey")
-    empty = headers.join(documents.select("l_orderkey").distinct(), same, "left_anti")
+    empty = headers.join(lines.select("l_orderkey").distinct(), same, "left_anti")
     return documents.join(headers, same).unionByName(empty, allowMissingColumns=True)
 
 
@@ -193,12 +199,12 @@ def order_id(key: Column, supplier: Column) -> Column:
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
 
 
-def _unit_price() -> Column:
-    return (_money("l_extendedprice") * F.lit(Decimal("0.01"))).cast(MONEY)
+def _unit_price(extended_price: Column) -> Column:
+    return (extended_price.cast("decimal(18,2)") * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
-def _line_percent() -> Column:
-    return (F.col("l_discount").cast("decimal(8,2)") * 100).cast(PERCENT)
+def _line_percent(discount: Column) -> Column:
+    return (discount.cast("decimal(8,2)") * 100).cast(PERCENT)
 
 
 def _units(column: str) -> Column:
@@ -231,7 +237,9 @@ def _order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _document_totals(lines: DataFrame, products: bool) -> DataFrame:
     """Per shipment: lines, quantity, amounts and, on request, distinct products."""
     unique = [F.countDistinct("l_partkey").alias("unique_products")] if products else []
-    return lines.groupBy(*SHIPMENT).agg(
+    used = ["l_partkey"] if products else []
+    shipped = _by_shipment(lines, "l_quantity", "l_shipdate", "l_extendedprice", "l_discount", "l_tax", *used)
+    return shipped.groupBy(*SHIPMENT).agg(
         F.count(F.lit(1)).alias("total_items"),
         F.sum(F.round("l_quantity").cast("long")).alias("total_quantity"),
         *unique,
@@ -257,27 +265,23 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Orders without lines carry an empty or no item list and zero totals.
     """
-    item = F.struct(
-        *LINE_ORDER,
-        _id("PROD-", "l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
-        _unit_price().alias("unit_price"),
-        _line_percent().alias("discount_percent"),
-    )
-    documents = order_lines(spark, sf_dir).groupBy(*SHIPMENT).agg(
-        F.sort_array(F.collect_list(item)).alias("_items"),
+    lines = order_lines(spark, sf_dir)
+    # The item's own fields are made after the shuffles: they repeat what these columns say.
+    documents = _by_shipment(lines, *LINE_ORDER, "l_tax", "l_shipdate").groupBy(*SHIPMENT).agg(
+        F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("_items"),
         F.min("l_shipdate").cast("date").alias("_shipped"),
         *(c.alias(f"_{n}") for n, c in _totals().items()),
     )
-    joined = _with_headers(_order_headers(spark, sf_dir), documents)
+    joined = _with_headers(_order_headers(spark, sf_dir), documents, lines)
     supplier = F.col("l_suppkey")
     key = F.col("o_orderkey")
     items = F.transform(
         F.col("_items"),
         lambda i: F.struct(
-            i["product_id"].alias("product_id"), i["quantity"].alias("quantity"),
-            i["unit_price"].alias("unit_price"),
-            F.when(i["discount_percent"] > 0, i["discount_percent"]).alias("discount_percent"),
+            F.concat(F.lit("PROD-"), i["l_partkey"].cast("string")).alias("product_id"),
+            i["l_quantity"].cast("decimal(18,2)").alias("quantity"),
+            _unit_price(i["l_extendedprice"]).alias("unit_price"),
+            F.when(_line_percent(i["l_discount"]) > 0, _line_percent(i["l_discount"])).alias("discount_percent"),
         ),
     )
     no_items = F.when(key % 2 == 0, F.array().cast(
@@ -321,9 +325,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_variant_object("document").alias("raw_data"), "order_id", "order_date")
 
 
-def _typed_orders(headers: DataFrame, totals: DataFrame) -> DataFrame:
+def _typed_orders(headers: DataFrame, totals: DataFrame, lines: DataFrame) -> DataFrame:
     """Order columns that need no shipping place, and the customer key the stored fact would hold."""
-    joined = _with_headers(headers, totals)
+    joined = _with_headers(headers, totals, lines)
     key, date = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     zero = F.lit(Decimal("0.0000"))
     amounts = {n: F.coalesce(f"_{n}", zero) for n in ("subtotal", "discount", "tax")}
@@ -356,9 +360,10 @@ def _typed_orders(headers: DataFrame, totals: DataFrame) -> DataFrame:
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver order headers straight from the tables."""
-    totals = _document_totals(order_lines(spark, sf_dir), products=True)
+    lines = order_lines(spark, sf_dir)
+    totals = _document_totals(lines, products=True)
     date = F.col("order_date")
-    return _typed_orders(_order_headers(spark, sf_dir), totals).select(
+    return _typed_orders(_order_headers(spark, sf_dir), totals, lines).select(
         "order_id", "customer_id", date, "order_timestamp", "order_status", "order_priority", "ship_date", "ship_mode",
         F.concat(F.col("o_custkey").cast("string"), F.lit(" Main Street")).alias("shipping_address"),
         F.concat(F.lit("City "), (F.col("o_custkey") % 40).cast("string")).alias("shipping_city"),
@@ -385,8 +390,8 @@ def _order_items(lines: DataFrame) -> DataFrame:
         _id("PROD-", "l_partkey").alias("product_id"),
         F.row_number().over(position).cast("long").alias("line_number"),
         F.col("l_quantity").cast("decimal(18,2)").cast("decimal(38,0)").alias("quantity"),
-        _unit_price().alias("unit_price"),
-        _line_percent().alias("discount_percent"),
+        _unit_price(F.col("l_extendedprice")).alias("unit_price"),
+        _line_percent(F.col("l_discount")).alias("discount_percent"),
     )
     return typed.withColumns(
         silver.line_amounts(F.col("quantity"), F.col("unit_price"), F.col("discount_percent")))

@@ -11,6 +11,9 @@ from . import inputs
 #: Records per array file or per numbered file: bounds one unsplittable file.
 LOT = 5000
 
+#: Order documents compress to an eighth. A compressed file cannot be split, so it is bounded: to some 30 MB of text.
+JSON_WRITE = {"compression": "gzip", "maxRecordsPerFile": "50000", "ignoreNullFields": "false"}
+
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "nullValue": "NULL"}
 
 
@@ -33,11 +36,10 @@ def products_csv(spark: SparkSession, sf_dir: str, header: bool = True) -> str:
     return path
 
 
-def orders_json(spark: SparkSession, sf_dir: str) -> str:
-    """A document per line."""
-    path = scratch_path(spark, "landing-orders")
-    documents = inputs.order_documents(spark, sf_dir).select("document.*")
-    documents.write.option("ignoreNullFields", "false").json(path)
+def orders_json(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
+    """A document per line, in compressed files."""
+    path = path or scratch_path(spark, "landing-orders")
+    inputs.order_documents(spark, sf_dir).select("document.*").write.options(**JSON_WRITE).json(path)
     return path
 
 

@@ -803,8 +803,7 @@ def v_order_status_summary(spark, sf_dir):
 def land_all(spark: SparkSession, sf_dir: str) -> str:
     """A landing area with the three sources, orders as one document per line."""
     root = scratch_path(spark, "landing")
-    documents = inputs.order_documents(spark, sf_dir).select("document.*")
-    documents.write.option("ignoreNullFields", "false").json(f"{root}/orders")
+    landing.orders_json(spark, sf_dir, f"{root}/orders")
     inputs.raw_customers(spark, sf_dir).select(*CUSTOMER_COLUMNS).write.options(**landing.CSV_WRITE).csv(
         f"{root}/customers")
     inputs.raw_products(spark, sf_dir).select(*PRODUCT_COLUMNS).write.options(**landing.CSV_WRITE).csv(
