@@ -119,3 +119,13 @@ def test_op3_links_count_too(spark):
     assert (prints[0] ^ prints[1]).bit_count() <= simhash.BITS and kept_ids(texts) == {2, 4, 9}
     rows = frame(spark, [(i, t, "en", "a") for i, t in texts.items()])
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates_stage(None, rows, "").collect()} == {2, 9}
+
+
+def test_links_to_follow_stay_a_few_a_text(spark, monkeypatch):
+    """The rows that the search for connected texts goes through, in one large group of near copies."""
+    followed = []
+    monkeypatch.setattr(simhash, "components", lambda edges, plain=simhash.components: followed.append(edges.count()) or plain(edges))
+    texts = hot_group("any", 700, words=80, edits=(3, 9))
+    rows = frame(spark, [(i, t, "en", "a") for i, t in texts.items()])
+    assert near_copies.keep_first(rows, by_simhash=True).count() < 600
+    assert sum(followed) <= 4 * len(texts)
