@@ -94,7 +94,7 @@ def first_deliveries(stream: DataFrame, target: str, checkpoint: str, key: str,
     on_time = F.coalesce(on_time, F.lit(False))
 
     report = _run_on_time(rows.where(on_time), target, f"{checkpoint}-state", key, time, horizon)
-    incremental(rows.where(~on_time), checkpoint, _keep_rest(target, key, time, e > a)).awaitTermination()
+    incremental(rows.where(~on_time), checkpoint, _keep_rest(target, key, time, e > a), staged=True).awaitTermination()
     return report
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.merge import table_exists
+from ..session import stage
 
 
 def read_growing(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -32,10 +33,12 @@ def _ledger(checkpoint: str) -> str:
     return f"{checkpoint}-files"
 
 
-def _noting_files(checkpoint: str, fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+def _noting_files(checkpoint: str, fn: Callable[[DataFrame, int], None], staged: bool) -> Callable[[DataFrame, int], None]:
     """After the work, the batch's files go to the consumer's ledger; a replayed batch overwrites its entry."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if staged:
+            batch = stage(batch, "batch")
         fn(batch.drop(_FILE), batch_id)
         (
             batch.select(_plain_path(F.col(_FILE)).alias("path")).distinct().withColumn("batch", F.lit(batch_id))
@@ -47,16 +50,19 @@ def _noting_files(checkpoint: str, fn: Callable[[DataFrame, int], None]) -> Call
 
 
 def incremental(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None],
-                interval: str | None = None) -> StreamingQuery:
+                interval: str | None = None, staged: bool = False) -> StreamingQuery:
     """Hand every new batch to ``fn(batch, batch_id)``.
 
     Without ``interval`` the query drains the source and ends (an outside scheduler repeats it); with
     one, such as ``5 minutes``, it keeps running. ``fn`` must be idempotent per batch id, as keyed
     merges and per-batch partitions are. The files of each finished batch are noted beside the checkpoint for
     ``stream_status``, in a second pass over the batch. ``stream`` is a file stream, as ``read_growing`` gives it.
+
+    Every pass over a batch reads its files and computes the stream's columns anew. ``staged`` writes the batch once and
+    passes on what was written: for a ``fn`` that reads it several times, and a stream that keeps few of its rows.
     """
     noted = stream.withColumn(_FILE, F.col("_metadata.file_path"))
-    writer = noted.writeStream.foreachBatch(_noting_files(checkpoint, fn)).option("checkpointLocation", checkpoint)
+    writer = noted.writeStream.foreachBatch(_noting_files(checkpoint, fn, staged)).option("checkpointLocation", checkpoint)
     if interval:
         return writer.trigger(processingTime=interval).start()
     return writer.trigger(availableNow=True).start()
@@ -80,11 +86,7 @@ def append_only(stream: DataFrame, target: str, checkpoint: str,
     """Append each batch to ``target``. A replayed batch overwrites its own partition."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            transform(batch).withColumn("batch", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch").parquet(target)
-        )
+        transform(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return incremental(stream, checkpoint, write)
 

@@ -63,3 +63,18 @@ def test_stream_status(spark, tmp_path, rows):
     incremental.drain(incremental.read_growing(spark, source, schema), checkpoint, lambda batch, _: batch.count())
     assert status() == [("MISSING", False, 0), ("S", False, 0)]
     assert rows(spark.read.parquet(f"{checkpoint}-files").groupBy("batch").count(), "batch", "count") == [(0, 1), (1, 2)]
+
+
+def test_staged_batch_is_read_from_what_was_written(spark, tmp_path, rows):
+    """Passes after the first do not go through the stream's columns again."""
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "ck")
+    deliver(spark, source, 1, 2, 3)
+    stream = incremental.read_growing(spark, source, spark.read.parquet(source).schema).where("id > 1")
+    seen = []
+
+    def run(batch, batch_id):
+        seen.append((rows(batch, "id"), [f.split("/stratamart/")[-1].split("/")[1].split("-")[0] for f in batch.inputFiles()]))
+
+    incremental.incremental(stream, checkpoint, run, staged=True).awaitTermination()
+    assert [r for r, _ in seen] == [[(2,), (3,)]] and set(seen[0][1]) == {"batch"}
+    assert incremental.pending_files(spark, source, checkpoint).count() == 0
