@@ -136,7 +136,7 @@ def load_raw(spark: SparkSession, table: RawTable, landing: str, bronze: str, gl
                          F.count_if(F.col("rejected") == 1).alias("rejected"),
                          F.max("_batch_row").alias("records"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch", "rejected").parquet(target)
+            .partitionBy("epoch", "rejected").parquet(target, compression="zstd")
         )
         counts = seen.get
         totals["loaded"] += counts["loaded"]
