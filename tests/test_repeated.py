@@ -5,7 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from stratamart.operators.merge import latest_by_key, merge_into_path, read_table, repeated_hashes, settle_repeated
-from stratamart.plans import silver
+from stratamart.plans import facts, silver
 
 
 def _settled(df, keys):
@@ -51,3 +51,17 @@ def test_items_of_an_order_sent_twice_count_once(spark, rows):
         ("o1", 1, "new"), ("o2", 1, "x"), ("o2", 2, "y")]
     once = silver.silver_order_items(raw.where("record_id > 10"))
     assert "Window" not in _plan(once) and once.count() == 3
+
+
+def test_places_join_sales_before_customers(spark):
+    orders = spark.createDataFrame(
+        [("o", "c", "x", "y", "z")], "order_id string, customer_id string, shipping_city string, shipping_state string, shipping_country string"
+    ).selectExpr("*", "date'2000-01-01' order_date", "date'2000-01-02' ship_date", *(f"1.5 {c}" for c in (
+        "subtotal", "discount_amount", "discount_percent", "tax_amount", "shipping_cost", "total_amount", "total_quantity")),
+        *(f"'s' {c}" for c in ("order_status", "order_priority", "ship_mode")), "1 total_items", "1 unique_products")
+    customers = spark.createDataFrame([("c", 7)], "customer_id string, customer_sk long")
+    places = spark.createDataFrame([("x", "y", "z", 9)], "city string, state string, country string, geography_sk long")
+    sales = facts.fact_sales(orders, customers, places)
+    plan = sales._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter, (customer_id") < plan.index("Join LeftOuter, ((")  # the upper one comes first
+    assert [tuple(r) for r in sales.select("customer_sk", "geography_sk").collect()] == [(7, 9)]
