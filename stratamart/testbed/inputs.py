@@ -8,6 +8,7 @@ Whole tables are used; text is dressed with the defects the cleansing rules look
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -212,10 +213,10 @@ def _units(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("long")
 
 
-def _totals() -> dict[str, Column]:
+def _totals(total: Callable[[Column], Column] = F.sum) -> dict[str, Column]:
     """Document totals from its lines, summed as whole hundredths and ten-thousandths: exact."""
     def amount(units: Column, place: str) -> Column:
-        return (F.sum(units).cast("decimal(18,0)") * F.lit(Decimal(place))).cast(MONEY)
+        return (total(units).cast("decimal(18,0)") * F.lit(Decimal(place))).cast(MONEY)
 
     gross = _units("l_extendedprice")
     return {
@@ -248,6 +249,24 @@ def _document_totals(lines: DataFrame, products: bool) -> DataFrame:
     )
 
 
+def _shipments(lines: DataFrame) -> DataFrame:
+    """Per shipment: its lines in order, the first shipping date and the totals.
+
+    A line alone in its shipment is passed on as it is: collecting lists sorts all rows twice more and makes a buffer for
+    every group, so only lines that share a shipment go there.
+    """
+    counted = _by_shipment(lines, *LINE_ORDER, "l_tax", "l_shipdate").withColumn(
+        "_n", F.count(F.lit(1)).over(Window.partitionBy(*SHIPMENT)))
+    line = F.struct(*LINE_ORDER)
+    alone = counted.where("_n = 1").select(
+        *SHIPMENT, F.array(line).alias("_items"), F.col("l_shipdate").cast("date").alias("_shipped"),
+        *(c.alias(f"_{n}") for n, c in _totals(lambda units: units).items()))
+    together = counted.where("_n > 1").groupBy(*SHIPMENT).agg(
+        F.sort_array(F.collect_list(line)).alias("_items"), F.min("l_shipdate").cast("date").alias("_shipped"),
+        *(c.alias(f"_{n}") for n, c in _totals().items()))
+    return alone.unionByName(together)
+
+
 def _ship_mode() -> Column:
     return _one_of(SHIP_MODES, F.col("o_orderkey") % 3)
 
@@ -266,24 +285,22 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders without lines carry an empty or no item list and zero totals.
     """
     lines = order_lines(spark, sf_dir)
-    # The item's own fields are made after the shuffles: they repeat what these columns say.
-    documents = _by_shipment(lines, *LINE_ORDER, "l_tax", "l_shipdate").groupBy(*SHIPMENT).agg(
-        F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("_items"),
-        F.min("l_shipdate").cast("date").alias("_shipped"),
-        *(c.alias(f"_{n}") for n, c in _totals().items()),
-    )
-    joined = _with_headers(_order_headers(spark, sf_dir), documents, lines)
+    joined = _with_headers(_order_headers(spark, sf_dir), _shipments(lines), lines)
     supplier = F.col("l_suppkey")
     key = F.col("o_orderkey")
-    items = F.transform(
-        F.col("_items"),
-        lambda i: F.struct(
+
+    # The item's own fields are made after the shuffles: they repeat what the line's columns say.
+    def item(i: Column) -> Column:
+        return F.struct(
             F.concat(F.lit("PROD-"), i["l_partkey"].cast("string")).alias("product_id"),
             i["l_quantity"].cast("decimal(18,2)").alias("quantity"),
             _unit_price(i["l_extendedprice"]).alias("unit_price"),
             F.when(_line_percent(i["l_discount"]) > 0, _line_percent(i["l_discount"])).alias("discount_percent"),
-        ),
-    )
+        )
+
+    # Spark compiles all but the lambda, so a single line does without it.
+    lines_sent = F.col("_items")
+    items = F.when(F.size(lines_sent) == 1, F.array(item(F.get(lines_sent, F.lit(0))))).otherwise(F.transform(lines_sent, item))
     no_items = F.when(key % 2 == 0, F.array().cast(
         "array<struct<product_id:string,quantity:decimal(18,2),unit_price:decimal(18,4),discount_percent:decimal(8,4)>>"))
     zero = F.lit(Decimal("0.0000"))
