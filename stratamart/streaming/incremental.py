@@ -7,8 +7,10 @@ with the same files.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,7 +41,7 @@ def _noting_files(checkpoint: str, fn: Callable[[DataFrame, int], None], staged:
     def run(batch: DataFrame, batch_id: int) -> None:
         if staged:
             batch = stage(batch, "batch")
-        fn(batch.drop(_FILE), batch_id)
+        fn(batch if batch.columns == [_FILE] else batch.drop(_FILE), batch_id)
         (
             batch.select(_plain_path(F.col(_FILE)).alias("path")).distinct().withColumn("batch", F.lit(batch_id))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -81,6 +83,23 @@ def drain(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], Non
     return ran
 
 
+def drain_files(spark: SparkSession, path: str, schema: StructType, checkpoint: str, fn: Callable[[DataFrame, int], None],
+                files_per_batch: int | None = None) -> int:
+    """As ``drain`` over the Parquet table at ``path``, but a batch is a plain read of its files: Spark then reads only the
+    columns and row groups that each pass of ``fn`` needs, where a batch of the stream is read whole every time. The
+    stream carries nothing but the names of the files; those of one batch come to the driver."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        files = [row[0] for row in batch.select(_FILE).distinct().collect()]
+        reader = batch.sparkSession.read.schema(schema).option("basePath", path)
+        # Names come encoded, and a reader takes some signs for patterns.
+        plain = [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in files]
+        fn(reader.parquet(*plain) if plain else reader.parquet(path).limit(0), batch_id)
+
+    names = read_growing(spark, path, schema, files_per_batch).select(F.col("_metadata.file_path").alias(_FILE))
+    return drain(names, checkpoint, run)
+
+
 def append_only(stream: DataFrame, target: str, checkpoint: str,
                 transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
     """Append each batch to ``target``. A replayed batch overwrites its own partition."""
