@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import CUSTOMER_COLUMNS, PRODUCT_COLUMNS
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_freed
 from . import inputs
 
 #: Records per array file or per numbered file: bounds one unsplittable file.
@@ -39,7 +39,8 @@ def products_csv(spark: SparkSession, sf_dir: str, header: bool = True) -> str:
 def orders_json(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
     """A document per line, in compressed files."""
     path = path or scratch_path(spark, "landing-orders")
-    inputs.order_documents(spark, sf_dir).select("document.*").write.options(**JSON_WRITE).json(path)
+    with shuffles_freed(spark):
+        inputs.order_documents(spark, sf_dir).select("document.*").write.options(**JSON_WRITE).json(path)
     return path
 
 
